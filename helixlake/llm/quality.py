@@ -32,7 +32,7 @@ RULES: list[tuple[str, str, float | None, float | None]] = [
     ("symbols_per_word", "symbol_ratio", None, 0.1),
     ("stop_words", "n_stop_words", 2, None),
     ("stop_word_ratio", "stop_word_ratio", 0.01, None),
-    ("duplicate_lines", "dup_line_ratio", None, 0.3),
+    ("duplicate_lines", "dup_line_ratio", None, 0.5),
     ("words_without_letter", "no_letter_ratio", None, 0.2),
     ("upper_case_words", "upper_ratio", None, 0.5),
     ("exclamations_per_word", "exclamation_ratio", None, 0.5),
