@@ -156,6 +156,6 @@ def tokens_at(spark: SparkSession, path: str, positions: list[int]) -> dict[int,
     own = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     index = segs.select("part", "seq", "n_tokens").withColumn("first", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)))
     wanted = spark.createDataFrame([(p,) for p in positions], "position long")
-    hits = wanted.join(index, (wanted.position >= index.first) & (wanted.position < index.first + index.n_tokens))
+    hits = wanted.join(index, F.expr("position >= first and position < first + n_tokens"))
     rows = hits.join(segs.drop("n_tokens"), ["part", "seq"]).select("position", "first", "chunks", "bitmaps", "ranks")
-    return {r.position: Dac(r.chunks, r.bitmaps, r.ranks).get(r.position - r.first) for r in rows.toLocalIterator()}
+    return {r.position: Dac(r.chunks, r.bitmaps, r.ranks).get(r.position - r["first"]) for r in rows.toLocalIterator()}
