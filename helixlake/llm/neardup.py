@@ -10,9 +10,9 @@ of n gives at most 2n pairs. Candidates are verified by banded alignment of thei
 is at most (1 - similarity) of the longer one. Links that failed are tried again with the leaders of finer buckets
 (two sketches at once). Components of the links are the classes.
 
-Edge cases: texts without words (empty, white space) are equal to each other; a null text is equal to nothing; texts
-of fewer than five words are one k-mer; repeated rows share a class; a null doc_id has a class but no id; extra
-columns are ignored; an empty table gives no rows. Texts of any length are sketched and aligned whole.
+Edge cases: texts without words (empty, white space) are equal to each other; a row with a null text or a null doc_id is
+equal to nothing and its class is its doc_id; texts of fewer than five words are one k-mer; rows that share a doc_id
+are one document; extra columns are ignored; an empty table gives no rows. Texts of any length are sketched and aligned whole.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from .common import WordHashes, batches, drop, grams, mix, save
 from .components import components
 
 K = 5
-NO_ID = -(1 << 63)
 _words = WordHashes()
 
 
@@ -83,12 +82,11 @@ def sketches_of(docs: DataFrame, sketches: int, length: int) -> DataFrame:
             kinds = {"h1": pa.int64(), "h2": pa.int64(), "n_words": pa.int32(), "sketch": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[k], t) for k, t in kinds.items())], ["doc_id", *kinds])
 
-    rows = docs.where("text is not null").select(_id().alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, h1 long, h2 long, n_words int, sketch array<long>")
+    return _texts(docs, "doc_id").mapInArrow(run, "doc_id long, h1 long, h2 long, n_words int, sketch array<long>")
 
 
-def _id():
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+def _texts(docs: DataFrame, name: str) -> DataFrame:
+    return docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias(name), F.col("text").cast("binary").alias("text"))
 
 
 def _pairs(entries: DataFrame, shared: DataFrame) -> DataFrame:
@@ -128,8 +126,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     pairs = save(_pairs(entries, shared).select("a", "b"), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.where("text is not null").select(_id().alias("node"), F.col("text").cast("binary").alias("text"))
-    texts = save(texts.join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = save(_texts(docs, "node").join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
     links = save(_verified(pairs, texts, similarity), "aligned")
     # Buckets that hold a failed pair are divided by a second sketch and get leaders of their own.
     failed = links.where("distance is null").select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -141,7 +138,16 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60
     links = save(links, "links")
     roots = components(links.select("a", "b"))
     members = rows.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
-    back = lambda c: F.nullif(c, F.lit(NO_ID))
-    nulls = docs.where("text is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"))
+    alone = docs.where("text is null or doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"))
     drop(pairs, texts, reps)
-    return members.select(back(F.col("doc_id")).alias("doc_id"), F.col("class_id")).union(nulls), links
+    return members.union(alone), links
+
+
+def keep_one(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with one row of each class: that of the least doc_id."""
+    members, _ = near_duplicates(docs, **settings)
+    gone = members.where("doc_id <> class_id").select("doc_id").distinct()
+    if docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count():
+        with_id = docs.where("doc_id is not null").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
+        docs = with_id.drop("_hash").union(docs.where("doc_id is null"))
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -39,17 +39,19 @@ RULES: list[tuple[str, str, float | None, float | None]] = [
 ]
 
 
-def metrics(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts that the rules are about."""
+def metrics(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, ``row`` if there is one, and the counts that the rules are about."""
+    kept = ["doc_id"] if row is None else ["doc_id", "_row"]
+    docs = docs if row is None else docs.select("doc_id", "text", row.alias("_row"))
     text = F.coalesce("text", F.lit(""))
     words = F.filter(F.split(text, SPACES + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    base = docs.select("doc_id", text.alias("text"), words.alias("words"))
+    base = docs.select(*kept, text.alias("text"), words.alias("words"))
     n = F.size("words")
     at = lambda i: F.element_at("words", i)
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("h"), i.alias("i"))))
     base = base.select(
-        "doc_id",
+        *kept,
         n.cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.size(F.split("text", r"[#*$%&|<>]", -1)) - 1).cast("long").alias("n_symbols"),
@@ -67,7 +69,7 @@ def metrics(docs: DataFrame) -> DataFrame:
     base = base.withColumn("twice", F.array_sort(F.coalesce(F.transform(twice, lambda i: F.get("sorted", i)["i"]), F.array().cast("array<int>"))))
     gaps = F.transform("twice", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("twice", k + 1) - x, F.lit(3))))
     return base.select(
-        "doc_id",
+        *kept,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -104,10 +106,19 @@ def compiled(rules=RULES) -> Column:
     return reduce(lambda a, b: a & b, limits, F.lit(True))
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def keep(docs: DataFrame, rules=RULES) -> DataFrame:
+    """The rows of ``docs`` that meet the rules, as they are."""
+    counted = metrics(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    return counted.where(~base_failed() & compiled(rules)).select("_row.*")
+
+
 def judge(docs: DataFrame, rules=RULES) -> DataFrame:
     """Counts, base_failed and kept for every document."""
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return metrics(docs).select("*", failed.alias("base_failed"), (~failed & compiled(rules)).alias("kept"))
+    return metrics(docs).select("*", base_failed().alias("base_failed"), (~base_failed() & compiled(rules)).alias("kept"))
 
 
 def oracle_sql(rules=RULES) -> str:

@@ -34,7 +34,8 @@ SHUT = 30.0  # added to the update gate of a pad, which then keeps the state
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-x))
 
 
 def pieces(text: bytes | None) -> list[bytes]:
@@ -86,6 +87,11 @@ def gru_back(d_out: np.ndarray, u: np.ndarray, kept: list) -> tuple[np.ndarray,
     return dx, du, db
 
 
+def scattered(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by place."""
+    return np.stack([np.bincount(place, c, n) for c in values.T], 1)
+
+
 class Network:
     def __init__(self, seed: int = 0):
         rng = np.random.default_rng(seed)
@@ -108,14 +114,14 @@ class Network:
             text[i, : len(w)] = np.frombuffer(w, np.uint8)
         return text.T, np.array([xxhash.xxh3_64_intdigest(w) % WORD_SLOTS for w in words], np.int64)
 
-    def word_vectors(self, chars: np.ndarray, slots: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        p, out, pad = self.p, [], (chars == 256)[:, :, None]
+    def word_vectors(self, chars: np.ndarray, slots: np.ndarray, keep: dict | None = None, dtype=np.float64) -> np.ndarray:
+        p, out = self.p, []
         for way in "fb":
-            x = (p["chars"] @ p[f"c{way}x"] + p[f"c{way}b"])[chars]
-            x[..., :HIDDEN_CHAR] += SHUT * pad
-            x = x if way == "f" else x[::-1]
+            gates = p["chars"] @ p[f"c{way}x"] + p[f"c{way}b"]
+            gates[256, :HIDDEN_CHAR] += SHUT
+            x = gates.astype(dtype)[chars if way == "f" else chars[::-1]]
             kept = None if keep is None else keep.setdefault(f"c{way}", [])
-            out.append(gru(x, p[f"c{way}u"], p[f"c{way}n"], kept)[-1])
+            out.append(gru(x, p[f"c{way}u"].astype(dtype), p[f"c{way}n"].astype(dtype), kept)[-1])
         return np.concatenate([*out, p["words"][slots]], 1)
 
     def inputs(self, vectors: np.ndarray) -> np.ndarray:
@@ -144,8 +150,13 @@ class Network:
 
     def table(self, words: list[bytes], dtype=np.float32) -> np.ndarray:
         """``inputs`` of different words and, last, of the pad."""
-        parts = [self.inputs(self.word_vectors(*self.spelled(words[i : i + 20_000]))).astype(dtype) for i in range(0, len(words), 20_000)]
-        return np.concatenate([*parts, self.pad_row(dtype)])
+        out = np.empty((len(words) + 1, 6 * HIDDEN), dtype)
+        order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")  # words of a length cost no pads
+        for i in range(0, len(words), 4096):
+            own = order[i : i + 4096]
+            out[own] = self.inputs(self.word_vectors(*self.spelled([words[k] for k in own]), dtype=dtype))
+        out[-1] = self.pad_row(dtype)
+        return out
 
     @staticmethod
     def pad_row(dtype=np.float32) -> np.ndarray:
@@ -173,8 +184,8 @@ class Network:
         for i, way in enumerate("fb"):
             own = d_h[:, :, i * HIDDEN : (i + 1) * HIDDEN]
             dx, du, db = gru_back(own if way == "f" else own[::-1], p[f"w{way}u"], keep[f"w{way}"])
-            d_in = np.zeros((len(inputs), 3 * HIDDEN))
-            np.add.at(d_in, (at if way == "f" else at[::-1]).ravel(), dx.reshape(-1, 3 * HIDDEN))
+            at_pad = np.where(at < 0, len(vectors), at)
+            d_in = scattered((at_pad if way == "f" else at_pad[::-1]).ravel(), dx.reshape(-1, 3 * HIDDEN), len(inputs))
             d_in = d_in[:-1]  # the pad's row has no weights
             grad |= {f"w{way}u": du, f"w{way}n": db, f"w{way}b": d_in.sum(0), f"w{way}x": vectors.T @ d_in}
             d_vec += d_in @ p[f"w{way}x"].T
@@ -184,38 +195,37 @@ class Network:
             d_state[-1] = d_vec[:, i * HIDDEN_CHAR : (i + 1) * HIDDEN_CHAR]
             dx, du, db = gru_back(d_state, p[f"c{way}u"], keep[f"c{way}"])
             dx = dx if way == "f" else dx[::-1]
-            d_in = np.zeros((257, 3 * HIDDEN_CHAR))
-            np.add.at(d_in, chars.ravel(), dx.reshape(-1, 3 * HIDDEN_CHAR))
+            d_in = scattered(chars.ravel(), dx.reshape(-1, 3 * HIDDEN_CHAR), 257)
             d_in[256] = 0
             grad |= {f"c{way}u": du, f"c{way}n": db, f"c{way}b": d_in.sum(0), f"c{way}x": p["chars"].T @ d_in}
             grad["chars"] += d_in @ p[f"c{way}x"].T
         return grad
 
-    def fit(self, texts: list[list[list[bytes]]], y: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Network:
+    def fit(self, texts: list[list[list[bytes]]], y: np.ndarray, steps: int = 400, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Network:
         """texts: the windows of each text, as words. Each step takes as many texts of either label."""
         rng = np.random.default_rng(seed)
         vocabulary = sorted({w for t in texts for win in t for w in win})
         number = {w: i for i, w in enumerate(vocabulary)}
         coded = [[np.array([number[w] for w in win], np.int64) for win in t] for t in texts]
         ones, zeros = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+        table = None
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         for step in range(1, steps + 1):
             own = np.concatenate([rng.choice(ones, batch // 2), rng.choice(zeros, batch // 2)])
-            wins = [(i, win) for i in own for win in coded[i]]
-            if step > 20:  # the worst window of each text; at first, any
-                score = self.scores([w for _, w in wins], vocabulary)
-            else:
-                score = rng.random(len(wins))
+            if step % 60 == 21:  # what the windows read, as of now; at first, any window counts as the worst
+                table = self.table(vocabulary)
+            wins = [win for i in own for win in coded[i]]
+            score = rng.random(len(wins)) if table is None else self.logits(table, self._padded(wins))
             worst, k = [], 0
             for i in own:
-                worst.append(wins[k + int(np.argmax(score[k : k + len(coded[i])]))][1])
+                worst.append(coded[i][int(np.argmax(score[k : k + len(coded[i])]))])
                 k += len(coded[i])
             used, place = self._placed(worst)
             grad = self.gradients([vocabulary[u] for u in used], place, y[own])
             slow = rate * min(1, 2 * (1 - step / (steps + 1)))
             for name, g in grad.items():
                 if name == "words":
-                    g = g + 1e-4 * self.p[name]
+                    g = g + 1e-3 * self.p[name]
                 norm = np.sqrt((g * g).sum())
                 g = g / max(1, norm)
                 first[name] = 0.9 * first[name] + 0.1 * g
@@ -224,17 +234,17 @@ class Network:
         return self
 
     @staticmethod
-    def _placed(wins: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        used, inverse = np.unique(np.concatenate([*wins, np.empty(0, np.int64)]), return_inverse=True)
-        place, k = np.full((len(wins), max([1, *map(len, wins)])), -1), 0
+    def _padded(wins: list[np.ndarray]) -> np.ndarray:
+        place = np.full((len(wins), max([1, *map(len, wins)])), -1)
         for r, w in enumerate(wins):
-            place[r, : len(w)] = inverse[k : k + len(w)]
-            k += len(w)
-        return used.astype(np.int64), place
-
-    def scores(self, wins: list[np.ndarray], vocabulary: list[bytes]) -> np.ndarray:
-        used, place = self._placed(wins)
-        return self.logits(self.table([vocabulary[u] for u in used]), place)
+            place[r, : len(w)] = w
+        return place
+
+    def _placed(self, wins: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        place = self._padded(wins)
+        used, inverse = np.unique(place, return_inverse=True)
+        pads = int(len(used) > 0 and used[0] < 0)
+        return used[pads:], inverse.reshape(place.shape) - pads
 
     def calibrate(self, logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         a, b = 1.0, 0.0
