@@ -18,10 +18,9 @@ def bag_bound(a: np.ndarray, b: np.ndarray) -> int:
     return int(max(net[net > 0].sum(), -net[net < 0].sum()))
 
 
-def _diagonals(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """The furthest point of each diagonal after e edits, e by e (Ukkonen); diagonals are compared at once."""
-    n, m = len(a), len(b)
-    places: dict[int, list[int]] = {}
+def _slider(a: np.ndarray, b: np.ndarray):
+    """slide(i, k): the first place from ``i`` on where a[place] and b[place + k] differ, or the diagonal's end."""
+    n, m, places = len(a), len(b), {}
 
     def slide(i: int, k: int) -> int:
         if k not in places:
@@ -31,6 +30,33 @@ def _diagonals(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
         j = bisect_left(x, i)
         return x[j] if j < len(x) else i
 
+    return slide
+
+
+def _greedy(a: np.ndarray, b: np.ndarray, limit: int, band: int = 6) -> int | None:
+    """Cost of one alignment within ``band`` of the current diagonal, if it is at most ``limit``: after each mismatch
+    it goes on along the diagonal that then matches furthest for its cost."""
+    n, m, slide = len(a), len(b), _slider(a, b)
+    i, k, cost = slide(0, 0), 0, 0
+    while i < n and i + k < m and cost <= limit:
+        best = None
+        for to in range(k - band, k + band + 1):
+            step = abs(to - k) or 1
+            at = i + 1 if to == k else i + k - to if to < k else i
+            if at > n or at + to > m or at + to < 0:
+                continue
+            end = slide(at, to)
+            if best is None or end - at - 2 * step > best[0]:
+                best = (end - at - 2 * step, end, to, step)
+        _, i, k, step = best
+        cost += step
+    cost += (n - i) + (m - i - k)
+    return cost if cost <= limit else None
+
+
+def _diagonals(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """The furthest point of each diagonal after e edits, e by e (Ukkonen); diagonals are compared at once."""
+    n, m, slide = len(a), len(b), _slider(a, b)
     reach = {0: slide(0, 0)}
     if m == n and reach[0] >= n:
         return 0
@@ -74,17 +100,22 @@ def _band(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     return d if d <= limit else None
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """The edit distance if it is at most ``limit``, else None."""
-    if abs(len(a) - len(b)) > limit:
-        return None
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the common head and tail, which some best alignment matches."""
     m = min(len(a), len(b))
     differ = np.flatnonzero(a[:m] != b[:m])
     head = int(differ[0]) if len(differ) else m
     a, b, m = a[head:], b[head:], m - head
     differ = np.flatnonzero(a[len(a) - m :][::-1] != b[len(b) - m :][::-1]) if m else ()
     tail = int(differ[0]) if len(differ) else m
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
+def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """The edit distance if it is at most ``limit``, else None."""
+    if abs(len(a) - len(b)) > limit:
+        return None
+    a, b = _trimmed(a, b)
     if not len(a) or not len(b):
         return d if (d := max(len(a), len(b))) <= limit else None
     if bag_bound(a, b) > limit:
@@ -92,3 +123,16 @@ def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     near = min(limit, 32)
     d = _diagonals(a, b, near)
     return d if d is not None or near == limit else _band(a, b, limit)
+
+
+def within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
+    """Cost of some alignment of at most ``limit`` edits; None only if there is none."""
+    if abs(len(a) - len(b)) > limit:
+        return None
+    a, b = _trimmed(a, b)
+    if not len(a) or not len(b):
+        return d if (d := max(len(a), len(b))) <= limit else None
+    if bag_bound(a, b) > limit:
+        return None
+    d = _greedy(a, b, limit)
+    return d if d is not None else edit_distance(a, b, limit)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .alignment import edit_distance
+from .alignment import within
 from .common import WordHashes, batches, drop, grams, mix, save
 from .components import components
 
@@ -100,7 +100,7 @@ def _pairs(entries: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` with their word edit distance, null beyond the limit."""
+    """``pairs`` with the edits of an alignment of their words, null if every one is beyond the limit."""
 
     def align(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, size=500):
@@ -108,7 +108,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
                 x, y = _words.of(x.split()), _words.of(y.split())
                 longer = max(len(x), len(y))
-                found.append(edit_distance(x, y, int(longer * (1 - similarity) + 1e-9)))
+                found.append(within(x, y, int(longer * (1 - similarity) + 1e-9)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.int32())], ["a", "b", "distance"])
 
     one, two = texts.toDF("a", "ta"), texts.toDF("b", "tb")

@@ -122,6 +122,8 @@ def test_alignment():
         want = distance(a.tolist(), b.tolist())
         for limit in (0, 2, 5, 30):
             assert alignment.edit_distance(a, b, limit) == (want if want <= limit else None)
+            cost = alignment.within(a, b, limit)
+            assert (cost is None) == (want > limit) and (cost is None or want <= cost <= limit)
     a = rng.integers(0, 1000, 3000).astype(np.uint64)
     b = a.copy()
     b[::40] = 5000
