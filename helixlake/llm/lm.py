@@ -44,15 +44,15 @@ def unsqueeze(x: bytes, kind) -> np.ndarray:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences of as many bytes as the largest takes."""
+    """Ascending keys as differences of as many bytes as the largest takes, byte by byte: the highest compress."""
     steps = np.diff(keys, prepend=np.uint64(0))
     size = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([size]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    return bytes([size]) + squeeze(np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T))
 
 
 def unpack_keys(raw: bytes) -> np.ndarray:
     size = raw[0]
-    own = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, size)
+    own = unsqueeze(raw[1:], np.uint8).reshape(size, -1).T
     steps = np.zeros((len(own), 8), np.uint8)
     steps[:, :size] = own
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
@@ -64,8 +64,12 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
 
         def block():
             hashes = np.concatenate(words)
-            known, codes = np.unique(hashes, return_inverse=True)
-            blob = squeeze(np.concatenate([np.array([len(known)], np.uint64), known])), squeeze(codes.astype(np.uint32))
+            known, codes, count = np.unique(hashes, return_inverse=True, return_counts=True)
+            order = np.argsort(-count, kind="stable")  # frequent words get small codes, whose high bytes compress
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            planes = np.ascontiguousarray(rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
+            blob = squeeze(known[order]), squeeze(planes)
             raw = len(blob[0]).to_bytes(8, "little") + blob[0] + blob[1]
             values = [[(part << 32) + seq], [held], [ids], [lens], [raw]]
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
@@ -89,8 +93,8 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
 
 def _hashes(raw: bytes) -> np.ndarray:
     n = int.from_bytes(raw[:8], "little")
-    known = unsqueeze(raw[8 : 8 + n], np.uint64)[1:]
-    return known[unsqueeze(raw[8 + n :], np.uint32)]
+    known, planes = unsqueeze(raw[8 : 8 + n], np.uint64), unsqueeze(raw[8 + n :], np.uint8)
+    return known[np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()]
 
 
 def _ngrams(h: np.ndarray, lens: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
