@@ -33,12 +33,15 @@ def _slider(a: np.ndarray, b: np.ndarray):
     return slide
 
 
-def _greedy(a: np.ndarray, b: np.ndarray, limit: int, band: int = 6) -> int | None:
+def _greedy(a: np.ndarray, b: np.ndarray, limit: int, band: int = 6, turns: int = 64) -> int | None:
     """Cost of one alignment within ``band`` of the current diagonal, if it is at most ``limit``: after each mismatch
-    it goes on along the diagonal that then matches furthest for its cost."""
+    it goes on along the diagonal that then matches furthest for its cost. It gives up after ``turns`` mismatches."""
     n, m, slide = len(a), len(b), _slider(a, b)
     i, k, cost = slide(0, 0), 0, 0
-    while i < n and i + k < m and cost <= limit:
+    while i < n and i + k < m:
+        turns -= 1
+        if cost > limit or turns < 0:
+            return None
         best = None
         for to in range(k - band, k + band + 1):
             step = abs(to - k) or 1
@@ -54,50 +57,61 @@ def _greedy(a: np.ndarray, b: np.ndarray, limit: int, band: int = 6) -> int | No
     return cost if cost <= limit else None
 
 
-def _diagonals(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """The furthest point of each diagonal after e edits, e by e (Ukkonen); diagonals are compared at once."""
-    n, m, slide = len(a), len(b), _slider(a, b)
-    reach = {0: slide(0, 0)}
-    if m == n and reach[0] >= n:
-        return 0
-    for e in range(1, limit + 1):
-        new = {}
-        for k in range(max(-e, -n), min(e, m) + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
-            i = min(i, n, m - k)
-            if i < 0 or i + k < 0:
-                continue
-            new[k] = slide(i, k)
-        reach = new
-        if reach.get(m - n, -1) >= n:
-            return e
-    return None
+class _Matches:
+    """Where a word of ``b`` occurs in the band: a bit for each place of ``a``. Frequent words have their bits at hand,
+    those of rare ones are set when asked for, so that these take at most 64 MB whatever the length."""
+
+    def __init__(self, a: list[int], b: list[int], limit: int):
+        wanted, places = set(b), {}
+        for p, w in enumerate(a):
+            if w in wanted:
+                places.setdefault(w, []).append(p + limit)
+        frequent = max(4, len(a) ** 2 >> 30)
+        self.mask, self.places, self.bits = (1 << 2 * limit + 1) - 1, {}, {}
+        for w, own in places.items():
+            if len(own) < frequent:
+                self.places[w] = own
+            else:
+                row = np.zeros(own[-1] + 1, np.uint8)
+                row[own] = 1
+                self.bits[w] = int.from_bytes(np.packbits(row, bitorder="little").tobytes(), "little")
+
+    def at(self, i: int, word: int) -> int:
+        if word in self.bits:
+            return self.bits[word] >> i & self.mask
+        out = 0
+        for p in self.places.get(word, ()):
+            if 0 <= p - i and p - i < self.mask.bit_length():
+                out |= 1 << p - i
+        return out
 
 
 def _band(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """Rows of the alignment matrix within ``limit`` of the diagonal, one row at a time."""
-    n, m, w = len(a), len(b), 2 * limit + 1
-    far = n + m + 1
-    steps = np.arange(w)
-    row = np.where(steps >= limit, steps - limit, far)
-    row[np.flatnonzero(steps - limit > m)] = far
-    padded = np.concatenate([np.zeros(limit, b.dtype), b, np.zeros(n + limit, b.dtype)])
-    inside = np.concatenate([np.zeros(limit, bool), np.ones(m, bool), np.zeros(n + limit, bool)])
-    for i in range(1, n + 1):
-        j = i - limit + steps  # columns of this row
-        lo = i - 1
-        same = (padded[lo : lo + w] == a[i - 1]) & inside[lo : lo + w]
-        new = np.minimum(row + ~same, np.append(row[1:], far) + 1)
-        new[(j < 0) | (j > m)] = far
-        if limit - i >= 0:
-            new[limit - i] = min(new[limit - i], i) if i <= limit else new[limit - i]
-        new = np.minimum.accumulate(new - steps) + steps
-        new[(j < 0) | (j > m)] = far
-        row = new
-        if row.min() > limit:
-            return None
-    d = int(row[m - n + limit])
-    return d if d <= limit else None
+    """Banded alignment, a row of the band at a time as bits of whole numbers (Hyyro 2003): bit t of row i stands for
+    place i - limit + t of ``a``. The cost is followed down the band's outer diagonal, then along the last column."""
+    if len(a) < len(b):
+        a, b = b, a
+    n, m, limit = len(a), len(b), min(limit, len(a))
+    if n - m > limit:
+        return None
+    a, b = a.tolist(), b.tolist()
+    matches, mask, outer = _Matches(a, b, limit), (1 << 2 * limit + 1) - 1, 1 << 2 * limit
+    plus, minus, cost, down = mask ^ ((1 << limit) - 1), 0, limit, n - limit
+    hopeless = limit + m - down  # each step along the last column saves one at most
+    for i, word in enumerate(b):
+        same = matches.at(i, word)
+        zero = (((same & plus) + plus) ^ plus | same | minus) & mask
+        right, left = minus | (zero | plus) ^ mask, zero & plus
+        if i < down:
+            cost += not zero & outer
+            if cost > hopeless:
+                return None
+        else:
+            t = n - 1 - i + limit
+            cost += (right >> t & 1) - (left >> t & 1)
+        zero >>= 1
+        plus, minus = left | (zero | right) ^ mask, zero & right
+    return cost if cost <= limit else None
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,9 +134,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
         return d if (d := max(len(a), len(b))) <= limit else None
     if bag_bound(a, b) > limit:
         return None
-    near = min(limit, 32)
-    d = _diagonals(a, b, near)
-    return d if d is not None or near == limit else _band(a, b, limit)
+    d = _band(a, b, near) if (near := 64) < limit else None
+    return d if d is not None else _band(a, b, limit)
 
 
 def within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
