@@ -78,10 +78,25 @@ def batches(rows, size: int = 2000, most: int = 24 << 20):
             yield batch.slice(i, step)
 
 
-class WordHashes(dict):
+class Memory(dict):
+    """Something remembered by a Python worker. Workers outlive their tasks and serve every operator in turn, so
+    only the memory that was used last is kept: another operator's is cleared when a new one is taken up."""
+
+    _last: Memory | None = None
+
+    def take_up(self, most: int) -> None:
+        if Memory._last is not self:
+            if Memory._last is not None:
+                Memory._last.clear()
+            Memory._last = self
+        if len(self) > most:
+            self.clear()
+
+
+class WordHashes(Memory):
     """64-bit hashes of words (bytes), remembered; ``form`` maps a word to what is hashed."""
 
-    MOST = 600_000
+    MOST = 400_000
 
     def __init__(self, form=None, seed: int = 0):
         super().__init__()
@@ -92,8 +107,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.MOST:
-            self.clear()
+        self.take_up(self.MOST)
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

@@ -12,6 +12,8 @@ from itertools import chain
 
 import numpy as np
 
+from .common import Memory
+
 END = 2
 
 
@@ -24,12 +26,12 @@ def single_spaced(text: str) -> bool:
 class Encoder:
     """Encodes texts to uint32 ids. At most ``most`` different pieces are remembered."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.most, self.seen = most, {}
+        self.most, self.seen = most, Memory()
         self.special = [(t.content, i) for i, t in self.tok.get_added_tokens_decoder().items()]
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -45,8 +47,7 @@ class Encoder:
         return [raw[i:j] for i, j in zip([0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(raw)])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.seen) > self.most:
-            self.seen.clear()
+        self.seen.take_up(self.most)
         get, out = self.seen.get, []
         for t in texts:
             if not t or "\0" in t or any(s in t for s, _ in self.special) or not single_spaced(t):
