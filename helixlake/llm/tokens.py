@@ -26,7 +26,7 @@ def single_spaced(text: str) -> bool:
 class Encoder:
     """Encodes texts to uint32 ids. At most ``most`` different pieces are remembered."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
