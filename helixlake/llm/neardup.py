@@ -4,11 +4,13 @@ A text's k-mers are runs of five words, labelled with their occurrence number. F
 the ``length`` least k-mers are taken and kept in text order; the sketch is a hash of that sequence, so two texts
 agree in one with a probability that follows their edit similarity, not just their overlap (Marcais et al. 2019).
 
-Texts of the same words are one node from the start. Nodes that share a sketch form a bucket; each member is compared
-with two leaders of it - the member that meets the most others over all buckets, and the least by a hash - so a bucket
-of n gives at most 2n pairs. Candidates are verified by banded alignment of their words: linked if the edit distance
-is at most (1 - similarity) of the longer one. Links that failed are tried again with the leaders of finer buckets
-(two sketches at once). Components of the links are the classes.
+Texts of the same words are one node from the start. Nodes that share a sketch form a bucket; each member is first
+compared with two leaders of it - the member that meets the most others over all buckets, and the least by a hash.
+Candidates are verified by banded alignment of their words: linked if the edit distance is at most (1 - similarity) of
+the longer one. In buckets whose members the links leave in several components, new leaders are compared with members
+of other components while that joins much; at the end every pair of a bucket that still lies in different components
+is verified, unless its lengths or its words' bits rule a link out. So no link between texts that share a sketch is missing from the
+classes, which are the components of the links; unlike texts in one bucket cost the square of their number.
 
 Edge cases: texts without words (empty, white space) are equal to each other; a row with a null text or a null doc_id is
 equal to nothing and its class is its doc_id; texts of fewer than five words are one k-mer; rows that share a doc_id
@@ -18,17 +20,22 @@ are one document; extra columns are ignored; an empty table gives no rows. Texts
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .alignment import within
 from .common import WordHashes, batches, drop, grams, mix, save
 from .components import components
 
+#: Members of a bucket that meet as one block; pairs a member up to which all are compared at once.
+PART, FEW = 256, 4
+#: 64-bit columns of a text's word bits.
+BITS = 8
 K = 5
 _words = WordHashes()
 
@@ -65,33 +72,41 @@ def sketch(h: np.ndarray, by: np.ndarray, length: int = 2, block: int = 4096) ->
     return out
 
 
+def word_bits(h: np.ndarray) -> np.ndarray:
+    """A bit for each word, of 64 * BITS. A bit that only one of two texts has stands for a word the other one lacks."""
+    on = np.zeros(64 * BITS, np.uint8)
+    on[(mix(h) % np.uint64(64 * BITS)).astype(np.int64)] = 1
+    return np.packbits(on).view(np.int64)
+
+
 def sketches_of(docs: DataFrame, sketches: int, length: int) -> DataFrame:
-    """doc_id, 128-bit hash of the words, their number, and the sketches."""
+    """doc_id, 128-bit hash of the words, their number, their bits, and the sketches."""
     by = multipliers(sketches)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            out: dict[str, list] = {"h1": [], "h2": [], "n_words": [], "sketch": []}
+            out: dict[str, list] = {"h1": [], "h2": [], "n_words": [], "bits": [], "sketch": []}
             for text in batch.column("text").to_pylist():
                 words = text.split() if text else []
                 whole = xxhash.xxh3_128_digest(b" ".join(words))
                 out["h1"].append(int.from_bytes(whole[:8], "little", signed=True))
                 out["h2"].append(int.from_bytes(whole[8:], "little", signed=True))
                 out["n_words"].append(len(words))
-                out["sketch"].append(sketch(_words.of(words), by, length).view(np.int64) if words else np.empty(0, np.int64))
-            kinds = {"h1": pa.int64(), "h2": pa.int64(), "n_words": pa.int32(), "sketch": pa.list_(pa.int64())}
+                hashes = _words.of(words)
+                out["bits"].append(word_bits(hashes))
+                out["sketch"].append(sketch(hashes, by, length).view(np.int64) if words else np.empty(0, np.int64))
+            kinds = {"h1": pa.int64(), "h2": pa.int64(), "n_words": pa.int32(), "bits": pa.list_(pa.int64()), "sketch": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[k], t) for k, t in kinds.items())], ["doc_id", *kinds])
 
-    return _texts(docs, "doc_id").mapInArrow(run, "doc_id long, h1 long, h2 long, n_words int, sketch array<long>")
+    return _texts(docs, "doc_id").mapInArrow(run, "doc_id long, h1 long, h2 long, n_words int, bits array<long>, sketch array<long>")
 
 
 def _texts(docs: DataFrame, name: str) -> DataFrame:
     return docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias(name), F.col("text").cast("binary").alias("text"))
 
 
-def _pairs(entries: DataFrame, shared: DataFrame) -> DataFrame:
-    """Member and leader of every bucket (key) of two or more nodes."""
-    met = save(entries.join(shared, "key"), "bucket-members")
+def _leaders(met: DataFrame) -> DataFrame:
+    """Each member of every bucket (key) with the bucket's two leaders."""
     central = met.groupBy("node").agg(F.sum("c").alias("meets"))
     ranked = met.join(central, "node").select("key", "node", F.struct("meets", (-F.col("node")).alias("minus")).alias("rank"))
     heads = ranked.groupBy("key").agg((-F.max("rank")["minus"]).alias("most"), F.min(F.struct(F.xxhash64("node"), F.col("node")))["node"].alias("least"))
@@ -99,6 +114,56 @@ def _pairs(entries: DataFrame, shared: DataFrame) -> DataFrame:
     return pairs.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def _divided(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with the root of their component, of the buckets that hold more than one component."""
+    own = save(met.join(roots, "node", "left").select("key", "node", "n_words", F.coalesce("root", "node").alias("root")), "rooted")
+    mixed = own.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", "c")
+    out = save(own.join(mixed, "key"), "divided")
+    drop(own)
+    return out
+
+
+def _open_pairs(members: DataFrame) -> tuple[int, float]:
+    """Rows of ``members``, and pairs in a bucket that lie in different components (once a bucket)."""
+    per = members.groupBy("key", "root").agg(F.count("*").cast("double").alias("m")).groupBy("key").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
+    n, pairs = per.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+    return int(n or 0), pairs or 0.0
+
+
+def _may_link(x: str, y: str, similarity: float) -> Column:
+    """Different components, and lengths that do not rule a link out."""
+    m, n = F.col(f"{x}.n_words"), F.col(f"{y}.n_words")
+    return (F.col(f"{x}.root") != F.col(f"{y}.root")) & (F.abs(m - n) <= F.floor(F.greatest(m, n) * F.lit(1 - similarity) + F.lit(1e-9)))
+
+
+def _across(members: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Members of a divided bucket with two leaders of this turn, where these lie in another component."""
+    rank = F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", "root", "n_words")
+    heads = members.groupBy("key").agg(F.min(rank).alias("one"), F.max(rank).alias("two"))
+    met = members.join(heads, "key").select(F.struct("node", "root", "n_words").alias("x"), F.explode(F.array("one", "two")).alias("y"))
+    return met.where(_may_link("x", "y", similarity)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _lacking(x: str, y: str) -> Column:
+    """Bits of words of x that y has not: an alignment has as many edits at least."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{x}.b{i}").bitwiseAND(F.bitwise_not(f"{y}.b{i}"))) for i in range(BITS)])
+
+
+def _all_across(members: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """All pairs in a divided bucket that lie in different components and whose word bits rule no link out. A bucket is dealt into parts of about ``PART``
+    members, and each two parts meet on their own, so that a large bucket is not one task."""
+    parts = F.ceil(F.col("c") / PART).cast("int")
+    own = members.join(bits.select("node", *(F.col("bits")[i].alias(f"b{i}") for i in range(BITS))), "node").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
+    member = F.struct("node", "root", "n_words", *(f"b{i}" for i in range(BITS)))
+    one = own.select("key", F.col("part").alias("lo"), F.explode(F.expr("sequence(part, parts - 1)")).alias("hi"), member.alias("x"))
+    two = own.select("key", F.explode(F.expr("sequence(0, part)")).alias("lo"), F.col("part").alias("hi"), member.alias("y"))
+    once = (F.col("lo") < F.col("hi")) | (F.col("x.node") < F.col("y.node"))
+    limit = F.floor(F.greatest("x.n_words", "y.n_words") * F.lit(1 - similarity) + F.lit(1e-9))
+    near = (_lacking("x", "y") <= limit) & (_lacking("y", "x") <= limit)
+    met = one.join(two, ["key", "lo", "hi"]).where(once & _may_link("x", "y", similarity) & near)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """``pairs`` with the edits of an alignment of their words, null if every one is beyond the limit."""
 
@@ -118,28 +183,38 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60, length: int = 2) -> tuple[DataFrame, DataFrame]:
     """(members, links): doc_id and class_id of every row, and the verified pairs of representatives."""
     all_rows = save(sketches_of(docs, sketches, length), "sketches")
-    first = F.min(F.struct("doc_id", "n_words", "sketch")).alias("x")
-    reps = save(all_rows.groupBy("h1", "h2").agg(first).select("h1", "h2", F.col("x.doc_id").alias("node"), F.col("x.n_words").alias("n_words"), F.col("x.sketch").alias("sketch")), "reps")
+    first = F.min(F.struct("doc_id", "n_words", "bits", "sketch")).alias("x")
+    reps = save(all_rows.groupBy("h1", "h2").agg(first).select("h1", "h2", F.col("x.doc_id").alias("node"), F.col("x.n_words").alias("n_words"), F.col("x.bits").alias("bits"), F.col("x.sketch").alias("sketch")), "reps")
     rows = save(all_rows.select("doc_id", "h1", "h2").join(reps.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node"), "rows")
     drop(all_rows)
-    entries = reps.select("node", F.explode("sketch").alias("key"))
+    entries = reps.select("node", "n_words", F.explode("sketch").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    pairs = save(_pairs(entries, shared).select("a", "b"), "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = save(entries.join(shared, "key"), "bucket-members")
+    pairs = save(_leaders(met), "pairs")
+    involved = met.select("node").distinct()
     texts = save(_texts(docs, "node").join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    links = save(_verified(pairs, texts, similarity), "aligned")
-    # Buckets that hold a failed pair are divided by a second sketch and get leaders of their own.
-    failed = links.where("distance is null").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wide = reps.join(failed, "node", "left_semi").where("size(sketch) > 0").select("node", "sketch")
-    finer = wide.select("node", F.expr(f"explode(transform(sketch, (x, i) -> xxhash64(x, sketch[(i + 7) % {sketches}])))").alias("key"))
-    shared = finer.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    more = save(_pairs(finer, shared).join(links.select("a", "b"), ["a", "b"], "left_anti"), "pairs-finer")
-    links = links.where("distance is not null").union(_verified(more, texts, similarity).where("distance is not null"))
-    links = save(links, "links")
-    roots = components(links.select("a", "b"))
+    tested = save(_verified(pairs, texts, similarity), "aligned")
+    drop(pairs)
+    # What the leaders did not join is compared further: with new leaders while that joins much, then every pair.
+    turn, before, whole = 0, None, False
+    while True:
+        links = tested.where("distance is not null")
+        roots = components(links.select("a", "b"))
+        if whole:
+            break
+        divided = _divided(met, roots)
+        n, still = _open_pairs(divided)
+        if not n:
+            break
+        whole = still <= FEW * n or (before is not None and still > 0.7 * before)
+        more = _all_across(divided, reps, similarity) if whole else _across(divided, turn, similarity)
+        more = save(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs-more")
+        tested = tested.union(save(_verified(more, texts, similarity), "aligned-more"))
+        drop(divided, more)
+        turn, before = turn + 1, still
     members = rows.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
     alone = docs.where("text is null or doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"))
-    drop(pairs, texts, reps)
+    drop(met, texts, reps)
     return members.union(alone), links
 
 

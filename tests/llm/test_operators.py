@@ -99,6 +99,22 @@ def test_near_duplicates(docs):
     assert all(r.distance is not None for r in links.collect())
 
 
+def test_near_duplicates_in_hot_buckets(spark):
+    """Pairs of texts that meet only in the run of words that all texts share: every link between two that share a
+    sketch joins their classes."""
+    run, texts = [f"run{k}" for k in range(40)], []
+    for i in range(100):
+        own = [f"t{i}w{k}" for k in range(60)]
+        texts += [own + run, [f"{w}x" if k % 5 == 2 else w for k, w in enumerate(own)] + run]  # 12 edits of 20
+    of = np.array([neardup.sketch(neardup._words.of([w.encode() for w in t]), neardup.multipliers(60)) for t in texts])
+    docs = spark.createDataFrame(rows_of([" ".join(t) for t in texts]), SCHEMA)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs)[0].collect()}
+    meet = [bool((of[2 * i] == of[2 * i + 1]).any()) for i in range(100)]
+    assert sum(meet) > 50
+    assert [got[2 * i] == got[2 * i + 1] for i in range(100)] == meet
+    assert len(set(got.values())) == 200 - sum(meet)
+
+
 def test_near_duplicates_empty(no_docs):
     assert neardup.near_duplicates(no_docs)[0].count() == 0
 
