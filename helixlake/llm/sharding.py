@@ -20,8 +20,8 @@ from .common import save
 BITS = 60
 
 
-def hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, and 120 hash bits in two longs."""
+def hashed(docs: DataFrame, *more: F.Column) -> DataFrame:
+    """doc_id, n_bytes, 120 hash bits in two longs, and ``more``."""
     bits = lambda c: F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("long")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return docs.select(
@@ -29,6 +29,7 @@ def hashed(docs: DataFrame) -> DataFrame:
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         bits(key).alias("h1"),
         bits(F.monotonically_increasing_id().cast("string")).alias("h2"),
+        *more,
     )
 
 
@@ -65,18 +66,26 @@ def directory(rows: DataFrame, limit: int, step: int = 8) -> DataFrame:
     return out.select("prefix", "depth", "shard_bytes", "n_docs", (F.col("shard_bytes") > limit).alias("oversized"))
 
 
-def assign(docs: DataFrame, limit: int, step: int = 8) -> DataFrame:
-    """One row per document: doc_id, n_bytes, shard (its hash prefix), depth, shard_bytes, oversized."""
-    rows = save(hashed(docs), "hashed")
+def _placed(rows: DataFrame, limit: int, step: int, *kept: str) -> DataFrame:
+    """``kept`` columns of each of ``rows`` (a table, as from :func:`hashed`), with its shard."""
     shards = save(directory(rows, limit, step), "shards")
     depths = [r.depth for r in shards.select("depth").distinct().orderBy("depth").collect()]  # at most 121
+    shards = shards.withColumnRenamed("prefix", "shard").select("shard", "depth", "shard_bytes", "oversized")
     if not depths:
-        return rows.select("doc_id", "n_bytes").join(shards.select(F.col("prefix").alias("shard"), "depth", "shard_bytes", "oversized"), F.lit(False))
+        return rows.select(*kept).join(shards, F.lit(False))
     # A lookup needs a document's prefix at the depths in use; it probes them all in one equality join.
-    probes = rows.select("doc_id", "n_bytes", F.explode(F.array(*[prefix(d) for d in depths])).alias("shard"))
-    return probes.join(shards.withColumnRenamed("prefix", "shard"), "shard").select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "oversized")
+    probes = rows.select(*kept, F.explode(F.array(*[prefix(d) for d in depths])).alias("shard"))
+    return probes.join(shards, "shard").select(*kept, "shard", "depth", "shard_bytes", "oversized")
+
+
+def assign(docs: DataFrame, limit: int, step: int = 8) -> DataFrame:
+    """One row per document: doc_id, n_bytes, shard (its hash prefix), depth, shard_bytes, oversized."""
+    return _placed(save(hashed(docs), "hashed"), limit, step, "doc_id", "n_bytes")
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str) -> None:
-    """Files of the documents, in a folder for each shard."""
-    docs.join(shards.select("doc_id", "shard"), "doc_id").repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, limit: int, path: str, step: int = 8) -> None:
+    """Files of the documents, in a folder for each shard. A row is known by both hashes, so rows without a doc_id or
+    with a repeated one are each written once, to their own shard."""
+    rows = save(hashed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")), "hashed")
+    placed = _placed(rows, limit, step, "h1", "h2").select("h1", "h2", "shard")
+    rows.select("h1", "h2", "_row").join(placed, ["h1", "h2"]).select("_row.*", "shard").repartition("shard").write.partitionBy("shard").parquet(path)

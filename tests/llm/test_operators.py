@@ -298,6 +298,18 @@ def test_sharding_repeated_rows(spark, no_docs):
     assert sharding.assign(no_docs, 10).count() == 0
 
 
+def test_sharding_writes_every_row_once(spark, tmp_path):
+    rows = [(1, f"{i:04}" * 250, "", "", 0) for i in range(40)] + [(None, f"n{i}", "", "", 0) for i in range(3)] + [(2, None, "", "", 0)]
+    sharding.write_shards(spark.createDataFrame(rows, SCHEMA), 5000, f"{tmp_path}/shards")
+    # A shard's name is its folder: read as a column, Spark would take the bits for a number.
+    out = spark.read.parquet(f"{tmp_path}/shards").selectExpr("doc_id", "text", "regexp_extract(input_file_name(), '/shard=([^/]*)/', 1) AS folder").collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out))) == sorted(map(str, ((r[0], r[1]) for r in rows)))
+    total = Counter()
+    for r in out:
+        total[r.folder] += len(r.text or "")
+    assert len(total) > 8 and max(total.values()) <= 5000
+
+
 # 8. URL filters
 
 
