@@ -20,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or a checkpoint folder set on the context. Where both
+    are unset, a folder of our own serves a local master only: executors of a cluster would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="helixlake-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -78,37 +81,52 @@ def batches(rows, size: int = 2000, most: int = 24 << 20):
             yield batch.slice(i, step)
 
 
-class Memory(dict):
-    """Something remembered by a Python worker. Workers outlive their tasks and serve every operator in turn, so
-    only the memory that was used last is kept: another operator's is cleared when a new one is taken up."""
+class Memory:
+    """Something remembered by a Python worker, in two generations: when the young one is full it becomes the old one
+    and what is asked for again moves back, so rare entries go and frequent ones stay. Workers outlive their tasks and
+    serve every operator in turn, so only the memory that was used last is kept: another operator's is cleared when a
+    new one is taken up."""
 
     _last: Memory | None = None
 
-    def take_up(self, most: int) -> None:
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+    def take_up(self) -> None:
         if Memory._last is not self:
             if Memory._last is not None:
                 Memory._last.clear()
             Memory._last = self
-        if len(self) > most:
-            self.clear()
+        if len(self.young) > self.most // 2:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
+        young, old, out = self.young, self.old, []
+        for k in keys - young.keys():
+            if (v := old.get(k)) is None:
+                out.append(k)
+            else:
+                young[k] = v
+        return out
 
 
 class WordHashes(Memory):
     """64-bit hashes of words (bytes), remembered; ``form`` maps a word to what is hashed."""
 
-    MOST = 400_000
-
-    def __init__(self, form=None, seed: int = 0):
-        super().__init__()
+    def __init__(self, form=None, seed: int = 0, most: int = 400_000):
+        super().__init__(most)
         self.form, self.seed = form, seed
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(self.form(word) if self.form else word, self.seed)
-        return h
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        self.take_up(self.MOST)
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        self.take_up()
+        new = self.missing(set(words))
+        form, seed = self.form, self.seed
+        self.young.update((w, xxhash.xxh3_64_intdigest(form(w) if form else w, seed)) for w in new)
+        return np.fromiter(map(self.young.__getitem__, words), np.uint64, len(words))
 
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -8,7 +8,6 @@ and each different piece only once; all others are encoded whole. Either way eve
 from __future__ import annotations
 
 import os
-from itertools import chain
 
 import numpy as np
 
@@ -24,42 +23,55 @@ def single_spaced(text: str) -> bool:
 
 
 class Encoder:
-    """Encodes texts to uint32 ids. At most ``most`` different pieces are remembered."""
+    """Encodes texts to uint32 ids. At most ``most`` different pieces are remembered, none longer than ``LONG``."""
+
+    LONG = 100
 
     def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.most, self.seen = most, Memory()
-        self.special = [(t.content, i) for i, t in self.tok.get_added_tokens_decoder().items()]
+        self.seen = Memory(most)
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        # Of byte-level tokens, those that begin with a space or a line break: a piece has these bytes at its start only.
+        self.begins = np.zeros(self.tok.get_vocab_size(), bool)
+        self.begins[[i for t, i in self.tok.get_vocab().items() if t[:1] in ("\u0120", "\u010a")]] = True
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, texts: list[str]) -> list[bytes]:
-        """Ids of short pieces: joined by a special token, which none of them holds, they cost one call."""
-        if not self.special:
-            return self.whole(texts)
-        text, mark = self.special[0]
-        ids = np.array(self.tok.encode_batch_fast([text.join(texts)], add_special_tokens=False)[0].ids, "<u4")
-        cut, raw = np.flatnonzero(ids == mark), ids.tobytes()
-        return [raw[i:j] for i, j in zip([0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(raw)])]
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that begin with a space or a line break: end to end they cost one call, and the tokens that
+        begin with such a byte show where each piece begins."""
+        ids = np.array(self.tok.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        cut, raw = (4 * np.flatnonzero(self.begins[ids])).tolist(), ids.tobytes()
+        if len(cut) != len(pieces):
+            return self.whole(pieces)
+        return [raw[i:j] for i, j in zip(cut, [*cut[1:], len(raw)])]
+
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.seen.young
+        new = self.seen.missing(pieces)
+        inner = [p for p in new if p[0] in " \n"]
+        known.update(zip(inner, self.pieces(inner)) if inner else ())
+        first = [p for p in new if p[0] not in " \n"]
+        known.update(zip(first, self.whole(first)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        self.seen.take_up(self.most)
-        get, out = self.seen.get, []
+        """Texts end to end cost few calls: give as many at a time as memory allows."""
+        self.seen.take_up()
+        cuts: list[list[str] | None] = []
         for t in texts:
-            if not t or "\0" in t or any(s in t for s, _ in self.special) or not single_spaced(t):
-                out.append(self.whole([t])[0] if t else b"")
-                continue
-            cut = t.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-            ids = list(map(get, cut))
-            if None in ids:
-                new = list({p for p, i in zip(cut, ids) if i is None})
-                self.seen.update(zip(new, self.pieces(new)))
-                ids = list(map(get, cut))
-            out.append(b"".join(ids))
+            plain = t and "\0" not in t and not any(s in t for s in self.special) and single_spaced(t)
+            cuts.append(t.replace("\n", "\0\n").replace(" ", "\0 ").split("\0") if plain else None)
+        pieces = set().union(*filter(None, cuts))
+        self._learn(pieces)
+        get = self.seen.young.__getitem__
+        out = [b"".join(map(get, c)) if c else self.whole([t])[0] if t else b"" for c, t in zip(cuts, texts)]
+        for p in pieces:
+            if len(p) > self.LONG:
+                del self.seen.young[p]
         return [np.frombuffer(x, "<u4") for x in out]
 
 
