@@ -1,79 +1,92 @@
-"""Stupid-backoff scores from n-gram counts of the whole corpus.
+"""Stupid-backoff scores, computed relationally.
 
-S(w | context) = c(context w) / c(context) if that n-gram was seen at least ``min_count`` times, else 0.4 times the score
-under the context without its first word; below the bigram it is c(w) / N. A document's score is the sum of log10 S
-over its words (lower-cased; an n-gram never leaves its document).
+S(w | context) = c(context w) / c(context) if that n-gram was seen, else 0.4 times the score under the context without its
+first word; below the bigram it is c(w) / N, where an unseen word counts as seen once. A document's score is the sum of
+log10 S over its words (lower-cased; an n-gram never leaves its document).
 
-Counting is a hash-partitioned aggregation and join over packed columns: documents become blocks of word hashes; each
-block sends its different n-grams with their counts to (order, hash bucket), where counts of all blocks are summed and
-the totals go back, in the order they came, to the block, which adds up its documents. A block names an n-gram once
-however often it has it, so a frequent one costs a row entry per block and no bucket runs hot. The number of buckets
-follows the corpus, so a bucket's size doesn't. N-grams are told apart by ``KEY_BITS`` bits of hash (at 10^10 different
-n-grams fewer than one in 10^6 meets another).
+:func:`score` takes the counts from the documents that it scores. Every n-gram is then seen, and the quotients telescope:
+of a document of n words there remain the counts of its n-grams of the full order, less those of the contexts between
+them (places 2 to n - order + 1), less log10 N. Documents are exploded to rows of one n-gram each, the rows of a range of
+n-gram hashes are dealt out by n-gram, counted there, joined to the counts, and summed per document. The ranges (``parts``)
+are done in turn, so that only one range's rows lie on disk at a time. An n-gram that holds a great share of a block's
+rows is counted per block; of these, at most 1 / SHARE have that share of all rows, and their counts are broadcast.
+
+:func:`score_against` scores documents by another corpus. There n-grams can be unseen. Each n-gram of the count table gets
+the weight log S of its own order less log S of the next lower one, by joins of the count tables; documents' n-grams of all
+orders are joined to the weights, an unseen one weighs log10 0.4, and the sum per document is its score.
+
+N-grams and words are told apart by 64 bits of hash: of 10^10 different n-grams one in 10^9 meets another.
 
 Edge cases: a null or empty text has no words, score 0 and a null mean; repeated rows count as often as they occur; a null
-doc_id stays null; an empty table gives no rows; extra columns are ignored; texts of any length are scored whole.
+doc_id stays null; an empty table gives no rows; extra columns are ignored; texts of any length are scored whole (a
+document is never divided, so it must fit a worker's memory: 8 bytes a word).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches, binary_text, drop, grams, save
+from .common import WordHashes, batches, binary_text, drop, grams, mix, save
 
-KEY_BITS = 56
 BACKOFF = 0.4
-BLOCK = "block long, n_words long, doc_ids array<long>, lens array<int>, words binary"
+#: Share of all rows from which an n-gram counts as frequent.
+SHARE = 1 / 20_000
+BLOCK = "first long, n_words long, shortest int, doc_ids array<long>, lens array<int>, words binary"
 RESULT = "doc_id long, n_words long, log_score double, mean_log_score double"
+#: Kinds of rows: how often the n-gram occurs (0 or 1), and with what sign its logarithm counts for the document.
+KINDS = [(0, -1), (0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]
+COUNT = len(KINDS)  # the row is a number of occurrences, of no document
 _words = WordHashes(lambda w: w.decode("utf-8", "replace").lower().encode())
 
 
+def kind(occurs: int, sign: int) -> int:
+    return KINDS.index((occurs, sign))
+
+
 def squeeze(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x))
 
 
-def unsqueeze(x: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x, max_output_size=1 << 31), kind)
+def unsqueeze(x: bytes, dtype) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype)
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences of as many bytes as the largest takes, byte by byte: the highest compress."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    size = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([size]) + squeeze(np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T))
+def _packed(hashes: np.ndarray) -> bytes:
+    """Word hashes as a table of the different ones and their numbers, a plane a byte: the highest compress."""
+    known, codes, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")  # frequent words get small numbers
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order))
+    planes = np.ascontiguousarray(rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    table = squeeze(known[order])
+    return len(table).to_bytes(8, "little") + table + squeeze(planes)
 
 
-def unpack_keys(raw: bytes) -> np.ndarray:
-    size = raw[0]
-    own = unsqueeze(raw[1:], np.uint8).reshape(size, -1).T
-    steps = np.zeros((len(own), 8), np.uint8)
-    steps[:, :size] = own
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+def _hashes(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    known, planes = unsqueeze(raw[8 : 8 + n], np.uint64), unsqueeze(raw[8 + n :], np.uint8)
+    return known[np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()]
 
 
 def _blocks(docs: DataFrame, most: int) -> DataFrame:
+    """Words of some documents each. A document's number is ``first`` plus its place in the block."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, held, ids, lens, words = TaskContext.get().partitionId(), 0, 0, [], [], []
+        first, held, ids, lens, words = TaskContext.get().partitionId() << 40, 0, [], [], []
 
         def block():
-            hashes = np.concatenate(words)
-            known, codes, count = np.unique(hashes, return_inverse=True, return_counts=True)
-            order = np.argsort(-count, kind="stable")  # frequent words get small codes, whose high bytes compress
-            rank = np.empty(len(order), np.uint32)
-            rank[order] = np.arange(len(order))
-            planes = np.ascontiguousarray(rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
-            blob = squeeze(known[order]), squeeze(planes)
-            raw = len(blob[0]).to_bytes(8, "little") + blob[0] + blob[1]
-            values = [[(part << 32) + seq], [held], [ids], [lens], [raw]]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["block", "n_words", "doc_ids", "lens", "words"])
+            few = min((n for n in lens if n), default=0)
+            values = [[first], [held], [few], [ids], [lens], [_packed(np.concatenate(words))]]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["first", "n_words", "shortest", "doc_ids", "lens", "words"])
 
         for batch in batches(rows):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -84,118 +97,194 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
                 held += len(own)
                 if held >= most:
                     yield block()
-                    seq, held, ids, lens, words = seq + 1, 0, [], [], []
+                    first, held, ids, lens, words = first + len(ids), 0, [], [], []
         if ids:
             yield block()
 
     return binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, BLOCK)
 
 
-def _hashes(raw: bytes) -> np.ndarray:
-    n = int.from_bytes(raw[:8], "little")
-    known, planes = unsqueeze(raw[8 : 8 + n], np.uint64), unsqueeze(raw[8 + n :], np.uint8)
-    return known[np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()]
+class Block:
+    """N-grams of one block."""
+
+    def __init__(self, row: dict):
+        self.first, self.h, self.lens = row["first"], _hashes(row["words"]), np.array(row["lens"], np.int64)
+        self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.start = np.cumsum(self.lens) - self.lens
+
+    def ngrams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the n-grams inside documents, and the place of their first word."""
+        g = grams(self.h, order, seed=order)
+        inside = np.flatnonzero(self.doc[: len(g)] == self.doc[order - 1 :][: len(g)])
+        return g[inside], inside
+
+    def rows(self, order: int, short: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(n-gram, 8 * document + kind) of the rows whose signed logarithms make up the scores; ``short``: some
+        document has fewer words than ``order`` - 1, so that lower orders are counted too."""
+        for m in range(1 if short else max(1, order - 1), order + 1):
+            g, at = self.ngrams(m)
+            doc, whole = self.doc[at], self.lens[self.doc[at]] == m  # of a document that is shorter, the whole counts
+            if m >= order - 1:
+                inner = (at > self.start[doc]) & (at - self.start[doc] <= self.lens[doc] - order)
+                sign = np.where(whole & (m < order), 1, np.where(inner, -1, 0)) if m < order else np.ones(len(g), np.int64)
+                yield g, 8 * (self.first + doc) + kind(1, 0) + sign
+            else:
+                known, count = np.unique(g, return_counts=True)
+                yield known, 8 * count + COUNT
+                yield g[whole], 8 * (self.first + doc[whole]) + kind(0, 1)
+
+
+def _each_block(blocks: DataFrame, schema: str, run) -> DataFrame:
+    """Rows of ``schema`` from ``run`` (a block to tuples of arrays), in batches of bounded size."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def each(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for row in batch.to_pylist():
+                for columns in run(Block(row)):
+                    for lo in range(0, len(columns[0]), 1 << 16):
+                        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + (1 << 16)].astype(np.int64, copy=False).view(np.int64)) for c in columns], names)
 
+    return blocks.select("first", "lens", "words").mapInArrow(each, schema)
 
-def _ngrams(h: np.ndarray, lens: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the n-grams inside documents, and the place of their last word."""
-    if order == 1:
-        return h >> np.uint64(64 - KEY_BITS), np.arange(len(h))
-    g = grams(h, order) >> np.uint64(64 - KEY_BITS)
-    doc = np.repeat(np.arange(len(lens)), lens)
-    inside = np.flatnonzero(doc[: len(g)] == doc[order - 1 :][: len(g)])
-    return g[inside], inside + order - 1
 
+def _exploded(blocks: DataFrame, order: int, short: bool, part: int | None, parts: int, frequent: np.ndarray) -> DataFrame:
+    """(gram, x) of one range of n-grams without the frequent ones; of these alone if ``part`` is None."""
 
-def _counted(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    s = np.sort(g)
-    first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, np.int64)
-    return s[first], np.diff(np.r_[first, len(s)])
+    def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for g, x in block.rows(order, short):
+            at = np.minimum(np.searchsorted(frequent, g), max(0, len(frequent) - 1))
+            often = frequent[at] == g if len(frequent) else np.zeros(len(g), bool)
+            keep = np.flatnonzero(often if part is None else ~often & (mix(g) % np.uint64(parts) == np.uint64(part)))
+            yield g[keep].view(np.int64), x[keep]
 
+    return _each_block(blocks, "gram long, x long", run)
 
-def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's keys begin: buckets are equal ranges of the key."""
-    edges = (np.arange(buckets, dtype=object) * (1 << KEY_BITS) // buckets).astype(np.uint64)
-    return np.append(np.searchsorted(keys, edges), len(keys))
 
+def _frequent(blocks: DataFrame, order: int, short: bool) -> np.ndarray:
+    """N-grams that hold a great share of the rows: at most 1 / SHARE of them."""
 
-def _sent(blocks: DataFrame, order_max: int, buckets: int) -> DataFrame:
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for row in batch.to_pylist():
-                h, lens = _hashes(row["words"]), np.array(row["lens"], np.int64)
-                for order in range(1, order_max + 1):
-                    keys, counts = _counted(_ngrams(h, lens, order)[0])
-                    at = _bounds(keys, buckets)
-                    out = [(order, b, row["block"], pack_keys(keys[x:y]), squeeze(counts[x:y].astype(np.uint32))) for b, (x, y) in enumerate(zip(at, at[1:])) if y > x]
-                    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-                    if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["order", "bucket", "block", "keys", "counts"])
-
-    return blocks.select("block", "lens", "words").mapInArrow(run, "order int, bucket int, block long, keys binary, counts binary")
-
-
-def _totals(table: pa.Table) -> pa.Table:
-    """Of one (order, bucket): each block's keys answered by the corpus counts."""
-    rows = table.to_pylist()
-    keys = [unpack_keys(r["keys"]) for r in rows]
-    every = np.concatenate(keys)
-    known, inverse = np.unique(every, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([unsqueeze(r["counts"], np.uint32) for r in rows])).astype(np.uint64)
-    answers = np.split(total[inverse], np.cumsum([len(k) for k in keys])[:-1])
-    return pa.table(
-        {
-            "order": pa.array([r["order"] for r in rows], pa.int32()),
-            "bucket": pa.array([r["bucket"] for r in rows], pa.int32()),
-            "block": pa.array([r["block"] for r in rows], pa.int64()),
-            "totals": pa.array([squeeze(a) for a in answers], pa.binary()),
-        }
-    )
-
-
-def _scorer(order_max: int, buckets: int, n_total: int, min_count: int):
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"doc_id": [], "n_words": [], "log_score": [], "mean_log_score": []}
-        answers = {(r["order"], r["bucket"]): r["totals"] for r in right.to_pylist()}
-        for row in left.to_pylist():
-            h, lens = _hashes(row["words"]), np.array(row["lens"], np.int64)
-            score, shorter = np.empty(0), np.empty(0)
-            for order in range(1, order_max + 1):
-                g, at = _ngrams(h, lens, order)
-                keys, _ = _counted(g)
-                parts = [unsqueeze(answers[order, b], np.uint64) for b in range(buckets) if (order, b) in answers]
-                totals = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-                c = np.zeros(len(h))
-                c[at] = totals[np.searchsorted(keys, g)] if len(g) else 0
-                if order == 1:
-                    score = np.log10(np.maximum(c, 1) / max(1, n_total))
-                else:
-                    seen = at[c[at] >= min_count]
-                    score[at] += np.log10(BACKOFF)
-                    score[seen] = np.log10(c[seen] / shorter[seen - 1])
-                shorter = c
-            sums = np.add.reduceat(np.append(score, 0.0), np.minimum(np.cumsum(lens) - lens, len(score))) if len(lens) else np.empty(0)
-            sums = np.where(lens > 0, sums, 0.0)
-            out["doc_id"] += row["doc_ids"]
-            out["n_words"] += lens.tolist()
-            out["log_score"] += sums.tolist()
-            out["mean_log_score"] += [s / n if n else None for s, n in zip(sums.tolist(), lens.tolist())]
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
-
-    return run
-
-
-def score(docs: DataFrame, order: int = 3, min_count: int = 2, block_words: int = 4_000_000, bucket_words: int = 2_000_000) -> DataFrame:
-    """doc_id, n_words, log_score and mean_log_score of every document."""
+    def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        every = [np.sort(g) for g, _ in block.rows(order, short)]
+        n = sum(map(len, every))
+        for g in every:
+            first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
+            count = np.diff(np.r_[first, len(g)])
+            often = count >= max(2, n * SHARE)
+            yield g[first[often]].view(np.int64), count[often]
+        yield np.zeros(1, np.int64), np.array([-n])  # all rows of the block, under a key of its own
+
+    found = _each_block(blocks, "gram long, n long", run).groupBy("gram", F.expr("n < 0").alias("every")).agg(F.sum("n").alias("n"))
+    found = save(found, "lm-frequent")
+    every = -(found.where("every").agg(F.sum("n")).first()[0] or 0)
+    rows = found.where(~F.col("every") & (F.col("n") >= every * SHARE)).select("gram").collect()  # at most 1 / SHARE
+    drop(found)
+    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
+
+
+def _occurs(x: Column) -> Column:
+    code = x.bitwiseAND(F.lit(7))
+    return F.when(code == COUNT, F.shiftright(x, 3)).when(code >= kind(1, -1), 1).otherwise(0)
+
+
+def _sign(x: Column) -> Column:
+    code = x.bitwiseAND(F.lit(7))
+    return F.when(code == COUNT, 0).otherwise(F.pmod(code, F.lit(3)) - 1)
+
+
+def _sums(rows: DataFrame) -> DataFrame:
+    """Per document, the signed logarithms of the counts ``c`` of its rows."""
+    code = F.col("x").bitwiseAND(F.lit(7))
+    doc = F.when(code != COUNT, F.shiftright("x", 3))
+    part = rows.select(doc.alias("doc"), (_sign(F.col("x")) * F.log10("c")).alias("s")).groupBy("doc").agg(F.sum("s").alias("s"))
+    return part.where("doc is not null")
+
+
+def _result(blocks: DataFrame, sums: list[DataFrame], own: Column) -> DataFrame:
+    """A row a document; ``own`` is added to the sum of one that has words."""
+    each = F.posexplode(F.arrays_zip("doc_ids", "lens")).alias("k", "d")
+    docs = blocks.select("first", each).select((F.col("first") + F.col("k")).alias("doc"), F.col("d.doc_ids").alias("doc_id"), F.col("d.lens").cast("long").alias("n_words"))
+    total = reduce(DataFrame.union, sums).groupBy("doc").agg(F.sum("s").alias("s"))
+    scored = docs.join(total, "doc", "left").withColumn("log_score", F.when(F.col("n_words") > 0, F.coalesce("s", F.lit(0.0)) + own).otherwise(0.0))
+    return scored.select("doc_id", "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score"))
+
+
+def score(docs: DataFrame, order: int = 3, parts: int = 8, block_words: int = 2_000_000, partition_rows: int = 1_000_000) -> DataFrame:
+    """doc_id, n_words, log_score and mean_log_score of every document, by the counts of all of them. ``order`` >= 2."""
     blocks = save(_blocks(docs, block_words), "lm-blocks", compression="none")
-    n = blocks.agg(F.sum("n_words")).first()[0] or 0
-    buckets = -(-n // bucket_words) or 1
-    sent = _sent(blocks, order, buckets)
-    totals = sent.groupBy("order", "bucket").applyInArrow(_totals, "order int, bucket int, block long, totals binary")
-    totals = save(totals, "lm-totals", compression="none")
-    run = _scorer(order, buckets, n, min_count)
-    scored = blocks.select("block", "doc_ids", "lens", "words").groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, RESULT)
-    out = save(scored, "lm-scores")
-    drop(blocks, totals)
+    n, few = blocks.agg(F.sum("n_words"), F.min(F.when(F.col("shortest") > 0, F.col("shortest")))).first()
+    n, short = n or 0, few is not None and few < order - 1
+    frequent = _frequent(blocks, order, short)
+    often = _exploded(blocks, order, short, None, parts, frequent)
+    counts = save(often.groupBy("gram").agg(F.sum(_occurs(F.col("x"))).alias("c")), "lm-counts")  # as many rows as ``frequent``
+    sums = [save(_sums(often.join(F.broadcast(counts), "gram")), "lm-sums")]
+    partitions = max(1, -(-2 * n // (parts * partition_rows)))
+    for part in range(parts):
+        # Both sides read one exchange: the rows are dealt out once, by n-gram, and counted where they are joined.
+        dealt = _exploded(blocks, order, short, part, parts, frequent).repartition(partitions, "gram")
+        own = dealt.groupBy("gram").agg(F.sum(_occurs(F.col("x"))).alias("c"))
+        sums.append(save(_sums(dealt.join(own.hint("shuffle_hash"), "gram")), "lm-sums"))
+    out = save(_result(blocks, sums, F.lit(-float(np.log10(max(1, n))))), "lm-scores")
+    drop(blocks, counts, *sums)
+    return out
+
+
+def _count_table(blocks: DataFrame, m: int) -> DataFrame:
+    """(gram, ctx, suf, mid, c) of the n-grams of ``m`` words; ctx, suf and mid lack the last, the first and both."""
+
+    def run(block: Block) -> Iterator[tuple[np.ndarray, ...]]:
+        g, at = block.ngrams(m)
+        known, first, count = np.unique(g, return_index=True, return_counts=True)
+        place = at[first]
+        lower = [grams(block.h, k, seed=k)[place + shift].view(np.int64) if k else np.zeros(len(known), np.int64) for k, shift in ((m - 1, 0), (m - 1, 1), (m - 2, 1))] if m > 1 else [np.zeros(len(known), np.int64)] * 3
+        yield (known.view(np.int64), *lower, count)
+
+    rows = _each_block(blocks, "gram long, ctx long, suf long, mid long, c long", run)
+    return rows.groupBy("gram").agg(F.min("ctx").alias("ctx"), F.min("suf").alias("suf"), F.min("mid").alias("mid"), F.sum("c").alias("c"))
+
+
+def _weights(tables: list[DataFrame], n: int) -> DataFrame:
+    """(gram, w): log S of its own order less log S of the next lower one, of all n-grams of all orders."""
+    count = lambda t, key, name: t.select(F.col("gram").alias(key), F.col("c").alias(name))
+    out = [tables[0].select("gram", F.log10(F.col("c") / n).alias("w"))]
+    for m in range(1, len(tables)):
+        t = tables[m].join(count(tables[m - 1], "ctx", "cc"), "ctx").join(count(tables[m - 1], "suf", "cs"), "suf")
+        t = t.withColumn("cm", F.lit(n)) if m == 1 else t.join(count(tables[m - 2], "mid", "cm"), "mid")
+        out.append(t.select("gram", (F.log10("c") - F.log10("cc") - F.log10("cs") + F.log10("cm")).alias("w")))
+    return reduce(DataFrame.union, out)
+
+
+def score_against(docs: DataFrame, corpus: DataFrame, order: int = 3, backoff: float = BACKOFF, block_words: int = 2_000_000) -> DataFrame:
+    """As :func:`score`, by the counts of ``corpus`` (doc_id, text)."""
+    blocks, known = save(_blocks(docs, block_words), "lm-blocks", compression="none"), save(_blocks(corpus, block_words), "lm-corpus", compression="none")
+    n = known.agg(F.sum("n_words")).first()[0] or 0
+    tables = [save(_count_table(known, m), f"lm-counts-{m}") for m in range(1, order + 1)]
+    weights = _weights(tables, max(1, n))
+
+    def run(block: Block) -> Iterator[tuple[np.ndarray, ...]]:
+        for m in range(1, order + 1):
+            g, at = block.ngrams(m)
+            yield g.view(np.int64), block.first + block.doc[at], np.full(len(g), m)
+
+    asked = _each_block(blocks, "gram long, doc long, m long", run).groupBy("gram", "doc", "m").agg(F.count("*").alias("n"))
+    unseen = F.when(F.col("m") == 1, -float(np.log10(max(1, n)))).otherwise(float(np.log10(backoff)))
+    sums = save(asked.join(weights, "gram", "left").groupBy("doc").agg(F.sum(F.col("n") * F.coalesce("w", unseen)).alias("s")), "lm-sums")
+    out = save(_result(blocks, [sums], F.lit(0.0)), "lm-scores")
+    drop(blocks, known, sums, *tables)
     return out
+
+
+def oracle_sql(digits: int = 4) -> str:
+    """Scores of order 3 as DuckDB SQL, word by word."""
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    p AS (SELECT r, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS c FROM w, unnest(range(1, len(w) + 1)) AS t(i)),
+    n AS (SELECT count(*) AS n FROM p),
+    c1 AS (SELECT a, count(*) AS n1 FROM p GROUP BY a),
+    c2 AS (SELECT b, a, count(*) AS n2 FROM p WHERE b IS NOT NULL GROUP BY b, a),
+    c3 AS (SELECT c, b, a, count(*) AS n3 FROM p WHERE c IS NOT NULL GROUP BY c, b, a),
+    s AS (SELECT p.r, sum(CASE WHEN p.c IS NOT NULL THEN log10(n3 / ctx2.n2) WHEN p.b IS NOT NULL THEN log10(own2.n2 / ctx1.n1) ELSE log10(own1.n1 / n.n) END) AS s
+        FROM p CROSS JOIN n JOIN c1 own1 ON own1.a = p.a LEFT JOIN c1 ctx1 ON ctx1.a = p.b LEFT JOIN c2 own2 ON own2.b = p.b AND own2.a = p.a
+        LEFT JOIN c2 ctx2 ON ctx2.b = p.c AND ctx2.a = p.b LEFT JOIN c3 ON c3.c = p.c AND c3.b = p.b AND c3.a = p.a GROUP BY p.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), {digits})::DOUBLE AS log_score,
+    round(s / len(w), {digits})::DOUBLE AS mean_log_score FROM w LEFT JOIN s USING (r)"""

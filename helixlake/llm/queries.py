@@ -11,6 +11,7 @@ from . import dac, decontamination, lm, neardup, packing, quality, sharding, sub
 from .common import save, table
 
 SHARD_BYTES = 1 << 20
+LM_DIGITS = 4
 
 
 def tokenizer() -> str:
@@ -68,7 +69,8 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(spark, sf_dir, "documents"), order=3)
+    out = lm.score(table(spark, sf_dir, "documents"), order=3)
+    return out.select("doc_id", "n_words", *(F.round(c, LM_DIGITS).alias(c) for c in ("log_score", "mean_log_score")))
 
 
 SHARDING_SQL = f"""
@@ -96,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality.oracle_sql(),
     "op7_extendible_sharding": SHARDING_SQL,
+    "op10_lm_scoring": lm.oracle_sql(LM_DIGITS),
 }

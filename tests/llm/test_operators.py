@@ -388,7 +388,7 @@ def test_sql_of_quality_and_sharding(spark):
 
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    for name in ("op1_quality_rules", "op7_extendible_sharding"):
+    for name in ("op1_quality_rules", "op7_extendible_sharding", "op10_lm_scoring"):
         got = queries.QUERIES[name](spark, SF)
         want = con.sql(queries.ORACLES[name])
         assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
@@ -401,32 +401,59 @@ def test_edge_texts_cover():
 # 10. language-model scores
 
 
-def backoff_scores(texts, order=3, min_count=2):
-    words = [(i, (t or "").encode().decode().lower().encode().split()) for i, t in texts]
-    count = Counter(tuple(w[s : s + n]) for _, w in words for n in range(1, order + 1) for s in range(len(w) - n + 1))
-    total = sum(len(w) for _, w in words)
+def backoff_scores(texts, order=3, corpus=None):
+    lower = lambda rows: [(i, (t or "").encode().decode().lower().encode().split()) for i, t in rows]
+    words, known = lower(texts), lower(texts if corpus is None else corpus)
+    count = Counter(tuple(w[s : s + n]) for _, w in known for n in range(1, order + 1) for s in range(len(w) - n + 1))
+    total = max(1, sum(len(w) for _, w in known))
 
     def one(gram):
         if len(gram) == 1:
-            return count[gram] / total
-        return count[gram] / count[gram[:-1]] if count[gram] >= min_count else 0.4 * one(gram[1:])
+            return max(1, count[gram]) / total
+        return count[gram] / count[gram[:-1]] if count[gram] else 0.4 * one(gram[1:])
 
-    return {i: sum(np.log10(one(tuple(w[max(0, k - order + 1) : k + 1]))) for k in range(len(w))) for i, w in words}
+    return [(i, sum(np.log10(one(tuple(w[max(0, k - order + 1) : k + 1]))) for k in range(len(w))), len(w)) for i, w in words]
+
+
+def same_scores(rows, want):
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, r.log_score, r.n_words) for r in rows), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, sorted(want, key=key)):
+        assert g[0] == w[0] and g[2] == w[2] and g[1] == pytest.approx(w[1], rel=1e-9, abs=1e-9)
+    assert all((r.mean_log_score is None) == (r.n_words == 0) for r in rows)
 
 
 def test_lm_scores(docs):
-    want = backoff_scores(texts_of(docs))
-    rows = lm.score(docs, block_words=3000, bucket_words=5000).collect()
-    assert sorted(r.doc_id for r in rows) == sorted(want)
-    for r in rows:
-        assert r.log_score == pytest.approx(want[r.doc_id], rel=1e-9, abs=1e-9)
-        assert (r.mean_log_score is None) == (r.n_words == 0)
+    same_scores(lm.score(docs, parts=2, block_words=3000, partition_rows=5000).collect(), backoff_scores(texts_of(docs)))
+
+
+@pytest.mark.parametrize("order", [2, 4])
+def test_lm_orders(edge_docs, order):
+    same_scores(lm.score(edge_docs, order=order, parts=2, block_words=3000).collect(), backoff_scores(texts_of(edge_docs), order))
+
+
+def test_lm_against_another_corpus(edge_docs, sf_docs, no_docs):
+    corpus = sf_docs.where("doc_id % 3 = 0").union(edge_docs.select(sf_docs.columns).where("doc_id > 12"))
+    want = backoff_scores(texts_of(edge_docs), corpus=texts_of(corpus))
+    same_scores(lm.score_against(edge_docs, corpus, block_words=3000).collect(), want)
+    same_scores(lm.score_against(edge_docs, no_docs).collect(), backoff_scores(texts_of(edge_docs), corpus=[]))
+
+
+def test_lm_odd_rows(spark, no_docs):
+    rows = [(None, "a b c d"), (None, "a b c d"), (7, "a b"), (7, "b"), (8, "x " * 3000), (8, None), (9, "a"), (9, "b a")]
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id long, text string, gram string, x int")
+    same_scores(lm.score(docs, parts=2, block_words=50).collect(), backoff_scores(rows))
+    assert lm.score(no_docs).count() == 0 and lm.score_against(no_docs, docs).count() == 0
 
 
-def test_lm_keys(no_docs):
-    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 56, 1000).astype(np.uint64))
-    assert (lm.unpack_keys(lm.pack_keys(keys)) == keys).all()
-    assert lm.score(no_docs).count() == 0
+def test_lm_frequent_ngrams(spark, monkeypatch):
+    """With a low bar for frequent n-grams, most of the rows take the broadcast side; the scores are the same."""
+    monkeypatch.setattr(lm, "SHARE", 1 / 50)
+    rows = [(i, "the cat sat on the mat " * (i % 5) + f"w{i} the cat") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(lm._frequent(save(lm._blocks(docs, 300), "lm-blocks"), 3, False)) > 3
+    same_scores(lm.score(docs, parts=2, block_words=300).collect(), backoff_scores(rows))
 
 
 # 4. toxicity
