@@ -106,7 +106,7 @@ class Memory:
     def missing(self, keys: set) -> list:
         """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
         young, old, out = self.young, self.old, []
-        for k in keys - young.keys():
+        for k in keys.difference(young):
             if (v := old.get(k)) is None:
                 out.append(k)
             else:
@@ -115,17 +115,15 @@ class Memory:
 
 
 class WordHashes(Memory):
-    """64-bit hashes of words (bytes), remembered; ``form`` maps a word to what is hashed."""
+    """64-bit hashes of what ``form`` makes of words (bytes); it is asked once for a word that is remembered."""
 
-    def __init__(self, form=None, seed: int = 0, most: int = 400_000):
+    def __init__(self, form, most: int = 400_000):
         super().__init__(most)
-        self.form, self.seed = form, seed
+        self.form = form
 
     def of(self, words: list[bytes]) -> np.ndarray:
         self.take_up()
-        new = self.missing(set(words))
-        form, seed = self.form, self.seed
-        self.young.update((w, xxhash.xxh3_64_intdigest(form(w) if form else w, seed)) for w in new)
+        self.young.update((w, xxhash.xxh3_64_intdigest(self.form(w))) for w in self.missing(set(words)))
         return np.fromiter(map(self.young.__getitem__, words), np.uint64, len(words))
 
 
@@ -139,6 +137,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: A random number for each byte, a factor for each place, and its inverse modulo 2^64.
+BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+STEP, BACK = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
+_places = [np.ones(1, np.uint64)] * 2
+
+
+def _factors(n: int) -> list[np.ndarray]:
+    if len(_places[0]) < n:
+        for k, by in enumerate((STEP, BACK)):
+            steps = np.full(max(n, 1 << 20), by, np.uint64)
+            steps[0] = 1
+            _places[k] = np.cumprod(steps)
+    return _places
+
+
+def word_hashes(texts: list[bytes | None], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts, end to end, and the number of words of each text.
+
+    A word's hash is the sum of its bytes' random numbers times the factors of their places: a difference of running
+    sums, moved back to place 0 by an inverse factor. So all words of about ``most`` bytes are hashed at once."""
+    out, lens, lo = [], np.zeros(len(texts), np.int64), 0
+    sizes = [len(t) + 1 if t else 1 for t in texts]
+    while lo < len(texts):
+        hi, size = lo + 1, sizes[lo]
+        while hi < len(texts) and size + sizes[hi] <= most:
+            size += sizes[hi]
+            hi += 1
+        raw = np.frombuffer(b" ".join(t or b"" for t in texts[lo:hi]), np.uint8)
+        edges = np.flatnonzero(np.diff(IS_SPACE[raw].view(np.int8), prepend=1, append=1))
+        start, end = edges[::2], edges[1::2]
+        place, back = _factors(len(raw) + 1)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(BYTES[raw] * place[: len(raw)], out=sums[1:])
+        out.append(mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64)))
+        lens[lo:hi] = np.diff(np.searchsorted(start, np.r_[0, np.cumsum(sizes[lo:hi])]))
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, np.uint64), lens
+
+
 def grams(h: np.ndarray, k: int, seed: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """Hash of each run of ``k`` words. Runs are joined by doubling, so it costs log2(k) passes."""
     if len(h) < k:

@@ -7,9 +7,10 @@ log10 S over its words (lower-cased; an n-gram never leaves its document).
 :func:`score` takes the counts from the documents that it scores. Every n-gram is then seen, and the quotients telescope:
 of a document of n words there remain the counts of its n-grams of the full order, less those of the contexts between
 them (places 2 to n - order + 1), less log10 N. Documents are exploded to rows of one n-gram each, the rows of a range of
-n-gram hashes are dealt out by n-gram, counted there, joined to the counts, and summed per document. The ranges (``parts``)
-are done in turn, so that only one range's rows lie on disk at a time. An n-gram that holds a great share of a block's
-rows is counted per block; of these, at most 1 / SHARE have that share of all rows, and their counts are broadcast.
+n-gram hashes are dealt out by n-gram, and a window over each n-gram sets its count beside its rows: the count table and
+its join, by one partitioning. The logarithms are summed per document. The ranges (``parts``) are done in turn, so that
+only one range's rows lie on disk at a time. Of n-grams with a great share of all rows there are at most 1 / SHARE; their
+count table is made by a plain aggregate and joined by broadcast, so that no task gets all rows of a frequent n-gram.
 
 :func:`score_against` scores documents by another corpus. There n-grams can be unseen. Each n-gram of the count table gets
 the weight log S of its own order less log S of the next lower one, by joins of the count tables; documents' n-grams of all
@@ -28,13 +29,14 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches, binary_text, drop, grams, mix, save
+from .common import batches, binary_text, drop, save, word_hashes
 
 BACKOFF = 0.4
 #: Share of all rows from which an n-gram counts as frequent.
@@ -44,7 +46,6 @@ RESULT = "doc_id long, n_words long, log_score double, mean_log_score double"
 #: Kinds of rows: how often the n-gram occurs (0 or 1), and with what sign its logarithm counts for the document.
 KINDS = [(0, -1), (0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]
 COUNT = len(KINDS)  # the row is a number of occurrences, of no document
-_words = WordHashes(lambda w: w.decode("utf-8", "replace").lower().encode())
 
 
 def kind(occurs: int, sign: int) -> int:
@@ -61,8 +62,8 @@ def unsqueeze(x: bytes, dtype) -> np.ndarray:
 
 def _packed(hashes: np.ndarray) -> bytes:
     """Word hashes as a table of the different ones and their numbers, a plane a byte: the highest compress."""
-    known, codes, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")  # frequent words get small numbers
+    codes, known = pd.factorize(hashes)
+    order = np.argsort(-np.bincount(codes, minlength=len(known)), kind="stable")  # frequent words get small numbers
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order))
     planes = np.ascontiguousarray(rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -89,8 +90,9 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["first", "n_words", "shortest", "doc_ids", "lens", "words"])
 
         for batch in batches(rows):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                own = _words.of(text.split() if text else [])
+            texts = [text.decode("utf-8", "replace").lower().encode() if text else None for text in batch.column("text").to_pylist()]
+            hashes, n = word_hashes(texts)
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), np.split(hashes, np.cumsum(n)[:-1])):
                 ids.append(doc_id)
                 lens.append(len(own))
                 words.append(own)
@@ -104,6 +106,15 @@ def _blocks(docs: DataFrame, most: int) -> DataFrame:
     return binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(run, BLOCK)
 
 
+def ngram_keys(h: np.ndarray, order: int) -> np.ndarray:
+    """Hash of each run of ``order`` words: word hashes are random, so their sum by odd factors is."""
+    n = max(0, len(h) - order + 1)
+    out = np.full(n, order, np.uint64)
+    for k in range(order):
+        out += h[k : k + n] * np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1)
+    return out
+
+
 class Block:
     """N-grams of one block."""
 
@@ -112,22 +123,25 @@ class Block:
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
         self.start = np.cumsum(self.lens) - self.lens
 
-    def ngrams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the n-grams inside documents, and the place of their first word."""
-        g = grams(self.h, order, seed=order)
-        inside = np.flatnonzero(self.doc[: len(g)] == self.doc[order - 1 :][: len(g)])
-        return g[inside], inside
+    def ngrams(self, order: int, lo: int = 0, hi: int = 1 << 64) -> tuple[np.ndarray, np.ndarray]:
+        """Keys from ``lo`` to below ``hi`` of the n-grams inside documents, and the place of their first word."""
+        g = ngram_keys(self.h, order)
+        at = np.arange(len(g)) if hi - lo == 1 << 64 else np.flatnonzero((g >= np.uint64(lo)) & (g <= np.uint64(hi - 1)))
+        at = at[self.doc[at] == self.doc[at + order - 1]]
+        return g[at], at
 
-    def rows(self, order: int, short: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def rows(self, order: int, short: bool, lo: int = 0, hi: int = 1 << 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(n-gram, 8 * document + kind) of the rows whose signed logarithms make up the scores; ``short``: some
         document has fewer words than ``order`` - 1, so that lower orders are counted too."""
         for m in range(1 if short else max(1, order - 1), order + 1):
-            g, at = self.ngrams(m)
-            doc, whole = self.doc[at], self.lens[self.doc[at]] == m  # of a document that is shorter, the whole counts
-            if m >= order - 1:
+            g, at = self.ngrams(m, lo, hi)
+            doc = self.doc[at]
+            whole = self.lens[doc] == m  # of a document that is shorter than the order, the whole counts
+            if m == order:
+                yield g, 8 * (self.first + doc) + kind(1, 1)
+            elif m == order - 1:
                 inner = (at > self.start[doc]) & (at - self.start[doc] <= self.lens[doc] - order)
-                sign = np.where(whole & (m < order), 1, np.where(inner, -1, 0)) if m < order else np.ones(len(g), np.int64)
-                yield g, 8 * (self.first + doc) + kind(1, 0) + sign
+                yield g, 8 * (self.first + doc) + kind(1, 0) + np.where(whole, 1, np.where(inner, -1, 0))
             else:
                 known, count = np.unique(g, return_counts=True)
                 yield known, 8 * count + COUNT
@@ -151,21 +165,27 @@ def _each_block(blocks: DataFrame, schema: str, run) -> DataFrame:
 def _exploded(blocks: DataFrame, order: int, short: bool, part: int | None, parts: int, frequent: np.ndarray) -> DataFrame:
     """(gram, x) of one range of n-grams without the frequent ones; of these alone if ``part`` is None."""
 
+    lo, hi = (0, 1 << 64) if part is None else ((part << 64) // parts, (part + 1 << 64) // parts)
+
     def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for g, x in block.rows(order, short):
-            at = np.minimum(np.searchsorted(frequent, g), max(0, len(frequent) - 1))
-            often = frequent[at] == g if len(frequent) else np.zeros(len(g), bool)
-            keep = np.flatnonzero(often if part is None else ~often & (mix(g) % np.uint64(parts) == np.uint64(part)))
-            yield g[keep].view(np.int64), x[keep]
+        for g, x in block.rows(order, short, lo, hi):
+            if len(frequent):
+                often = frequent[np.minimum(np.searchsorted(frequent, g), len(frequent) - 1)] == g
+                keep = np.flatnonzero(often == (part is None))
+                g, x = g[keep], x[keep]
+            elif part is None:
+                return
+            yield g.view(np.int64), x
 
     return _each_block(blocks, "gram long, x long", run)
 
 
-def _frequent(blocks: DataFrame, order: int, short: bool) -> np.ndarray:
-    """N-grams that hold a great share of the rows: at most 1 / SHARE of them."""
+def _frequent(blocks: DataFrame, order: int, short: bool, step: int = 8) -> np.ndarray:
+    """N-grams that hold a great share of the rows, by a count of one row in ``step``: at most 1 / SHARE of them. This
+    only decides by which join an n-gram meets its count."""
 
     def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        every = [np.sort(g) for g, _ in block.rows(order, short)]
+        every = [np.sort(g[::step]) for g, _ in block.rows(order, short)]
         n = sum(map(len, every))
         for g in every:
             first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
@@ -215,17 +235,17 @@ def score(docs: DataFrame, order: int = 3, parts: int = 8, block_words: int = 2_
     n, few = blocks.agg(F.sum("n_words"), F.min(F.when(F.col("shortest") > 0, F.col("shortest")))).first()
     n, short = n or 0, few is not None and few < order - 1
     frequent = _frequent(blocks, order, short)
-    often = _exploded(blocks, order, short, None, parts, frequent)
+    often = save(_exploded(blocks, order, short, None, parts, frequent), "lm-often")
     counts = save(often.groupBy("gram").agg(F.sum(_occurs(F.col("x"))).alias("c")), "lm-counts")  # as many rows as ``frequent``
     sums = [save(_sums(often.join(F.broadcast(counts), "gram")), "lm-sums")]
+    drop(often, counts)
     partitions = max(1, -(-2 * n // (parts * partition_rows)))
     for part in range(parts):
-        # Both sides read one exchange: the rows are dealt out once, by n-gram, and counted where they are joined.
         dealt = _exploded(blocks, order, short, part, parts, frequent).repartition(partitions, "gram")
-        own = dealt.groupBy("gram").agg(F.sum(_occurs(F.col("x"))).alias("c"))
-        sums.append(save(_sums(dealt.join(own.hint("shuffle_hash"), "gram")), "lm-sums"))
+        counted = dealt.select("x", F.sum(_occurs(F.col("x"))).over(Window.partitionBy("gram")).alias("c"))
+        sums.append(save(_sums(counted), "lm-sums"))
     out = save(_result(blocks, sums, F.lit(-float(np.log10(max(1, n))))), "lm-scores")
-    drop(blocks, counts, *sums)
+    drop(blocks, *sums)
     return out
 
 
@@ -236,7 +256,7 @@ def _count_table(blocks: DataFrame, m: int) -> DataFrame:
         g, at = block.ngrams(m)
         known, first, count = np.unique(g, return_index=True, return_counts=True)
         place = at[first]
-        lower = [grams(block.h, k, seed=k)[place + shift].view(np.int64) if k else np.zeros(len(known), np.int64) for k, shift in ((m - 1, 0), (m - 1, 1), (m - 2, 1))] if m > 1 else [np.zeros(len(known), np.int64)] * 3
+        lower = [ngram_keys(block.h, k)[place + shift].view(np.int64) if k else np.zeros(len(known), np.int64) for k, shift in ((m - 1, 0), (m - 1, 1), (m - 2, 1))] if m > 1 else [np.zeros(len(known), np.int64)] * 3
         yield (known.view(np.int64), *lower, count)
 
     rows = _each_block(blocks, "gram long, ctx long, suf long, mid long, c long", run)

@@ -12,9 +12,10 @@ of other components while that joins much; at the end every pair of a bucket tha
 is verified, unless its lengths or its words' bits rule a link out. So no link between texts that share a sketch is missing from the
 classes, which are the components of the links; unlike texts in one bucket cost the square of their number.
 
-Edge cases: texts without words (empty, white space) are equal to each other; a row with a null text or a null doc_id is
-equal to nothing and its class is its doc_id; texts of fewer than five words are one k-mer; rows that share a doc_id
-are one document; extra columns are ignored; an empty table gives no rows. Texts of any length are sketched and aligned whole.
+Edge cases: texts without words (empty, white space) are equal to each other; a row with a null text is equal to nothing
+and its class is its doc_id; texts of fewer than five words are one k-mer; rows that share a doc_id, or have none, are
+rows like any other, told apart by two hashes of the text; a class is named by its least doc_id (null if it has none);
+extra columns of any name are ignored; an empty table gives no rows. Texts of any length are sketched and aligned whole.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .alignment import within
-from .common import WordHashes, batches, drop, grams, mix, save
+from .common import batches, drop, grams, mix, save, word_hashes
 from .components import components
 
 #: Members of a bucket that meet as one block; pairs a member up to which all are compared at once.
@@ -37,7 +38,6 @@ PART, FEW = 256, 4
 #: 64-bit columns of a text's word bits.
 BITS = 8
 K = 5
-_words = WordHashes()
 
 
 def multipliers(sketches: int) -> np.ndarray:
@@ -79,30 +79,32 @@ def word_bits(h: np.ndarray) -> np.ndarray:
     return np.packbits(on).view(np.int64)
 
 
+def keyed(docs: DataFrame, *more) -> DataFrame:
+    """doc_id, two hashes of the text, the text as bytes, and ``more``, of the rows that have a text."""
+    key = lambda salt: F.xxhash64(F.lit(salt), "text")
+    return docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), key(1).alias("t1"), key(2).alias("t2"), F.col("text").cast("binary").alias("text"), *more)
+
+
 def sketches_of(docs: DataFrame, sketches: int, length: int) -> DataFrame:
-    """doc_id, 128-bit hash of the words, their number, their bits, and the sketches."""
+    """Keys of each row, 128-bit hash of its words, their number, their bits, and the sketches."""
     by = multipliers(sketches)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             out: dict[str, list] = {"h1": [], "h2": [], "n_words": [], "bits": [], "sketch": []}
-            for text in batch.column("text").to_pylist():
-                words = text.split() if text else []
-                whole = xxhash.xxh3_128_digest(b" ".join(words))
+            hashes, lens = word_hashes(batch.column("text").to_pylist())
+            for h in np.split(hashes, np.cumsum(lens)[:-1]):
+                whole = xxhash.xxh3_128_digest(h.tobytes())
                 out["h1"].append(int.from_bytes(whole[:8], "little", signed=True))
                 out["h2"].append(int.from_bytes(whole[8:], "little", signed=True))
-                out["n_words"].append(len(words))
-                hashes = _words.of(words)
-                out["bits"].append(word_bits(hashes))
-                out["sketch"].append(sketch(hashes, by, length).view(np.int64) if words else np.empty(0, np.int64))
+                out["n_words"].append(len(h))
+                out["bits"].append(word_bits(h))
+                out["sketch"].append(sketch(h, by, length).view(np.int64) if len(h) else np.empty(0, np.int64))
             kinds = {"h1": pa.int64(), "h2": pa.int64(), "n_words": pa.int32(), "bits": pa.list_(pa.int64()), "sketch": pa.list_(pa.int64())}
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[k], t) for k, t in kinds.items())], ["doc_id", *kinds])
-
-    return _texts(docs, "doc_id").mapInArrow(run, "doc_id long, h1 long, h2 long, n_words int, bits array<long>, sketch array<long>")
+            own = ["doc_id", "t1", "t2"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, own), *(pa.array(out[k], t) for k, t in kinds.items())], [*own, *kinds])
 
-
-def _texts(docs: DataFrame, name: str) -> DataFrame:
-    return docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias(name), F.col("text").cast("binary").alias("text"))
+    return keyed(docs).mapInArrow(run, "doc_id long, t1 long, t2 long, h1 long, h2 long, n_words int, bits array<long>, sketch array<long>")
 
 
 def _leaders(met: DataFrame) -> DataFrame:
@@ -170,8 +172,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     def align(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, size=500):
             found = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                x, y = _words.of(x.split()), _words.of(y.split())
+            one, two = (np.split(h, np.cumsum(n)[:-1]) for h, n in (word_hashes(batch.column(c).to_pylist()) for c in ("ta", "tb")))
+            for x, y in zip(one, two):
                 longer = max(len(x), len(y))
                 found.append(within(x, y, int(longer * (1 - similarity) + 1e-9)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.int32())], ["a", "b", "distance"])
@@ -181,18 +183,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60, length: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id and class_id of every row, and the verified pairs of representatives."""
+    """(members, links): doc_id, the keys t1 and t2 of the text, class_id and ``kept`` (one row of its class has it) of
+    every row, and the verified pairs of numbers of texts."""
     all_rows = save(sketches_of(docs, sketches, length), "sketches")
-    first = F.min(F.struct("doc_id", "n_words", "bits", "sketch")).alias("x")
-    reps = save(all_rows.groupBy("h1", "h2").agg(first).select("h1", "h2", F.col("x.doc_id").alias("node"), F.col("x.n_words").alias("n_words"), F.col("x.bits").alias("bits"), F.col("x.sketch").alias("sketch")), "reps")
-    rows = save(all_rows.select("doc_id", "h1", "h2").join(reps.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node"), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2")
+    first = F.min(F.struct(place.alias("at"), "n_words", "bits", "sketch")).alias("x")
+    reps = all_rows.groupBy("h1", "h2").agg(first).select("h1", "h2", F.monotonically_increasing_id().alias("node"), "x.*")
+    reps = save(reps, "reps")
+    rows = save(all_rows.select("doc_id", "t1", "t2", "h1", "h2").join(reps.select("h1", "h2", "node"), ["h1", "h2"]).drop("h1", "h2"), "rows")
     drop(all_rows)
     entries = reps.select("node", "n_words", F.explode("sketch").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     met = save(entries.join(shared, "key"), "bucket-members")
     pairs = save(_leaders(met), "pairs")
     involved = met.select("node").distinct()
-    texts = save(_texts(docs, "node").join(involved, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    # The text of a number is that of its first row, so that one row of a group of copies meets it.
+    at = reps.join(involved, "node", "left_semi").select("node", "at.*")
+    same = lambda x, y: (x.t1 == y.t1) & (x.t2 == y.t2) & x.doc_id.eqNullSafe(y.doc_id)
+    source = keyed(docs)
+    texts = save(source.join(at, same(source, at)).groupBy("node").agg(F.min("text").alias("text")), "texts")
     tested = save(_verified(pairs, texts, similarity), "aligned")
     drop(pairs)
     # What the leaders did not join is compared further: with new leaders while that joins much, then every pair.
@@ -212,17 +221,32 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60
         tested = tested.union(save(_verified(more, texts, similarity), "aligned-more"))
         drop(divided, more)
         turn, before = turn + 1, still
-    members = rows.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("class_id"))
-    alone = docs.where("text is null or doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("doc_id").cast("long").alias("class_id"))
-    drop(met, texts, reps)
-    return members.union(alone), links
+    # Of a class, the least doc_id names it, and the first row with it stays.
+    rooted = reps.select("node", "at").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = rooted.groupBy("root").agg(F.min("at").alias("head"))
+    classes = save(rooted.select("node", "root").join(heads, "root").select("node", "head"), "classes")
+    members = rows.join(classes, "node")
+    kept = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("t1") == F.col("head.t1")) & (F.col("t2") == F.col("head.t2"))
+    members = save(members.select("doc_id", "t1", "t2", F.col("head.doc_id").alias("class_id"), kept.alias("kept")), "members")
+    drop(met, texts, reps, rows, roots, classes)
+    return members, links
+
+
+def classes(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id and class_id of every row; without a text, a row is its own class."""
+    members, _ = near_duplicates(docs, **settings)
+    own = F.col("doc_id").cast("long")
+    alone = docs.where("text is null").select(own.alias("doc_id"), own.alias("class_id"))
+    return members.select("doc_id", "class_id").union(alone)
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one row of each class: that of the least doc_id."""
+    """``docs`` with the first row of each class, by doc_id (null last) and a hash of the text; of rows that are equal
+    in doc_id and text, one. Rows without a text stay."""
     members, _ = near_duplicates(docs, **settings)
-    gone = members.where("doc_id <> class_id").select("doc_id").distinct()
-    if docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count():
-        with_id = docs.where("doc_id is not null").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
-        docs = with_id.drop("_hash").union(docs.where("doc_id is null"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    chosen = members.where("kept").select("doc_id", "t1", "t2").distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    source = keyed(docs, row).drop("text")
+    same = (source.t1 == chosen.t1) & (source.t2 == chosen.t2) & source.doc_id.eqNullSafe(chosen.doc_id)
+    found = source.join(chosen, same, "left_semi").groupBy("doc_id", "t1", "t2").agg(F.any_value("row").alias("row"))
+    return found.select("row.*").union(docs.where("text is null"))

@@ -26,7 +26,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))[0]
+    return neardup.classes(table(spark, sf_dir, "documents"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality.oracle_sql(),
+    "op3_substring_dedup": substrings.oracle_sql(35),
     "op7_extendible_sharding": SHARDING_SQL,
     "op10_lm_scoring": lm.oracle_sql(LM_DIGITS),
 }

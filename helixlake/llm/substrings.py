@@ -1,53 +1,53 @@
-"""Removal of long repeated substrings over a compacted de Bruijn graph of words.
+"""Removal of long repeated substrings by compaction of the de Bruijn graph of words.
 
-Every window of ``window`` words is an edge of the graph. As 35 words hold 28 runs of 8, each edge is filed under its
-least 8-word run (leftmost of equals), its minimizer; consecutive edges of a text with the same minimizer form one
-path, and equal edges always lie in paths of equal minimizers. Joins on the minimizer then compact the graph:
+Every window of ``window`` words is an edge of the graph, from the node of its first ``window - 1`` words to that of its
+last. Equal windows are one edge. The graph is compacted by Spark joins, in two steps:
 
-1. paths whose minimizer occurs once hold no repeated edge and go;
-2. a minimizer whose paths all have one content does not branch: those paths are repeated as a whole;
-3. only where paths of one minimizer differ are they opened into single edges, counted by a 128-bit fingerprint.
+1. An edge is filed under the least 8-word run that it holds (leftmost of equals). Consecutive edges of a text with the
+   same run form a piece; equal edges always lie in pieces of equal runs. Runs with one piece hold no repeated edge and
+   go. A run whose pieces are all alike does not branch, so its piece stays one item; only where pieces differ are they
+   opened, an item an edge.
+2. Items that occur twice or more are the repeated part of the graph. One whose neighbours are the same wherever it
+   occurs has one way in and one way out; neighbours of that kind are merged to one path, all others end at a branch.
+   So every occurrence of a path runs over the whole of it.
 
-Coordinates (row key, first word, number of edges) travel with the paths and lead back to the source words; there
-they are checked against each text's length before anything is removed.
+The coordinates of each occurrence (row, first word, number of edges) travel along. They lead back to the source words,
+and a path counts as repeated only if the SHA-256 of these words says so: hashes of windows route, words decide. Should
+two different windows have met in a hash (64 bits), the graph is built again with other hashes.
+
+A run or item that holds more than one row in 10,000 is joined by broadcast (there are at most 10,000 of those), the
+others by a shuffle, so no task gets all rows of a hot passage.
 
 Edge cases: a null or empty text, and one shorter than a window, keeps all its words; repeated rows are occurrences
-like any other; rows are told apart by a hash of doc_id and text, so null or shared ids do no harm; an empty table
-gives no rows; extra columns are ignored (:func:`remove` returns them unchanged). Texts of any length are read whole.
+like any other; rows are told apart by 128 bits of hash of doc_id and text, so null or shared ids do no harm; an empty
+table gives no rows; extra columns of any name are ignored (:func:`remove` returns them unchanged). Texts of any length
+are read whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batches, drop, grams, mix, save
+from .common import batches, drop, grams, mix, save, word_hashes
 
 K = 8
 SLICE = 5 << 20
-SECOND = 0x1F83D9ABFB41BD6B
-_words = WordHashes()
-
+SHARE = 1 / 10_000
+ROW = ["r1", "r2"]
 
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("row_key"), F.col("text").cast("binary").alias("text"), *more)
 
-
-def _hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of some texts, end to end, and the words of each."""
-    words, lens = [], np.empty(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        own = t.split() if t else []
-        lens[i] = len(own)
-        words += own
-    return _words.of(words), lens
+def keyed(docs: DataFrame, *more) -> DataFrame:
+    """Two hashes of each row, its text as bytes, and ``more``."""
+    key = lambda salt: F.xxhash64(F.lit(salt), "doc_id", "text")
+    return docs.select(key(1).alias("r1"), key(2).alias("r2"), F.col("text").cast("binary").alias("text"), *more)
 
 
 def _minimizers(km: np.ndarray, width: int) -> np.ndarray:
@@ -62,89 +62,152 @@ def _minimizers(km: np.ndarray, width: int) -> np.ndarray:
     return pos
 
 
-def _paths(docs: DataFrame, window: int) -> DataFrame:
+def _pieces(docs: DataFrame, window: int, seed: int) -> DataFrame:
+    k = min(K, window)
+
     def find(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, most=SLICE):
-            h, lens = _hashes(batch.column("text").to_pylist())
+            h, lens = word_hashes(batch.column("text").to_pylist())
             if len(h) < window:
                 continue
             doc, start = np.repeat(np.arange(len(lens)), lens), np.cumsum(lens) - lens
             s = np.flatnonzero(doc[: len(h) - window + 1] == doc[window - 1 :])
             if not len(s):
                 continue
-            km, edge = grams(h, K), grams(h, window)
-            p, d = _minimizers(km, window - K + 1)[s], doc[s]
+            km, edge = grams(h, k, seed), grams(h, window, seed)
+            p, d = _minimizers(km, window - k + 1)[s], doc[s]
             first = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])])
             n = np.diff(np.r_[first, len(s)])
             a, b, at = s[first], s[first + n - 1], p[first]
             content = mix(edge[a] * np.uint64(3) + mix(edge[b] + np.uint64(64) * n.astype(np.uint64) + (at - a).astype(np.uint64)))
-            keys = np.asarray(batch.column("row_key"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(km[at].view(np.int64)), pa.array(content.view(np.int64)), pa.array(keys[d[first]]), pa.array((a - start[d[first]]).astype(np.int32)), pa.array(n.astype(np.int32))],
-                ["minimizer", "content", "row_key", "first", "n"],
-            )
+            columns = [pa.array(km[at].view(np.int64)), pa.array(content.view(np.int64))]
+            columns += [pa.array(np.asarray(batch.column(c))[d[first]]) for c in ROW]
+            columns += [pa.array((a - start[d[first]]).astype(np.int32)), pa.array(n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["run", "content", *ROW, "first", "n"])
 
-    return docs.mapInArrow(find, "minimizer long, content long, row_key long, first int, n int")
+    return docs.mapInArrow(find, "run long, content long, r1 long, r2 long, first int, n int")
 
 
-def _edges(opened: DataFrame, window: int) -> DataFrame:
-    """Single edges of the opened paths; ``opened`` has a text and its paths (first, n) per row."""
+def _met(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``found`` (a table with a row for each key and its number of rows, c). A key with more than
+    a SHARE of the rows that are counted is broadcast: there are at most 1 / SHARE."""
+    total = found.agg(F.sum("c")).first()[0] or 0
+    hot = F.col("c") > total * SHARE
+    often, seldom = found.where(hot).drop("c"), found.where(~hot).drop("c")
+    if not found.where(hot).limit(1).count():
+        return rows.join(seldom, key)
+    return rows.join(F.broadcast(often), key).unionByName(rows.join(F.broadcast(often.select(key)), key, "left_anti").join(seldom, key))
+
+
+def _items(listed: DataFrame, window: int, seed: int) -> DataFrame:
+    """(item, r1, r2, first, n, around) of texts with their pieces (spans): a piece that does not branch as a whole,
+    the others by their edges. ``around`` is a hash of the items before and after, of 0 where the text has none there."""
 
     def find(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows, most=SLICE):
-            h, lens = _hashes(batch.column("text").to_pylist())
+            h, lens = word_hashes(batch.column("text").to_pylist())
             start = np.cumsum(lens) - lens
             if len(h) < window:
                 continue
-            e1, e2 = grams(h, window), grams(h, window, SECOND)
+            edge, spans = grams(h, window, seed), batch.column("spans")
+            flat, size = spans.flatten(), np.diff(np.asarray(spans.offsets))
+            row = np.repeat(np.arange(len(size)), size)
+            first, n, content, opens = (np.asarray(flat.field(c)) for c in ("first", "n", "content", "branches"))
+            times, n = np.where(opens, n, 1).astype(np.int64), n.astype(np.int64)
+            shift = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            own, row, opens = np.repeat(first.astype(np.int64), times) + shift, np.repeat(row, times), np.repeat(opens, times)
+            item = np.where(opens, edge[np.minimum(start[row] + own, len(edge) - 1)], np.repeat(content, times).view(np.uint64))
+            n = np.where(opens, 1, np.repeat(n, times))
+            order = np.lexsort((own, row))
+            item, row, own, n = item[order], row[order], own[order], n[order]
+            joined = (row[1:] == row[:-1]) & (own[:-1] + n[:-1] == own[1:])
+            before = np.r_[np.uint64(0), np.where(joined, item[:-1], np.uint64(0))] if len(item) else item
+            after = np.r_[np.where(joined, item[1:], np.uint64(0)), np.uint64(0)] if len(item) else item
+            around = mix(before * np.uint64(3) + mix(after + np.uint64(seed)))
+            around[(before == 0) | (after == 0)] = 0
+            columns = [pa.array(item.view(np.int64)), *(pa.array(np.asarray(batch.column(c))[row]) for c in ROW)]
+            columns += [pa.array(own.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(around.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", *ROW, "first", "n", "around"])
+
+    return listed.mapInArrow(find, "item long, r1 long, r2 long, first int, n int, around long")
+
+
+def _paths(listed: DataFrame) -> DataFrame:
+    """(r1, r2, spans) with the repeated items of each row, in order, merged to paths (path, first, n): neighbours are
+    one path unless either branches; the path has the name of its first item."""
+
+    def merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
             spans = batch.column("spans")
-            flat, count = spans.flatten(), np.asarray(pa.compute.list_value_length(spans))
-            row = np.repeat(np.arange(len(count)), count)
-            first, n = np.asarray(flat.field("first")).astype(np.int64), np.asarray(flat.field("n")).astype(np.int64)
-            ok = first + n + window - 1 <= lens[row]
-            row, first, n = row[ok], first[ok], n[ok]
-            own = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            row = np.repeat(row, n)
-            at = start[row] + own
-            keys = np.asarray(batch.column("row_key"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(e1[at].view(np.int64)), pa.array(e2[at].view(np.int64)), pa.array(keys[row]), pa.array(own.astype(np.int32))], ["e1", "e2", "row_key", "first"]
-            )
-
-    return opened.mapInArrow(find, "e1 long, e2 long, row_key long, first int")
+            flat, size = spans.flatten(), np.diff(np.asarray(spans.offsets))
+            row = np.repeat(np.arange(len(size)), size)
+            first, n, item, branches = (np.asarray(flat.field(c)) for c in ("first", "n", "item", "branches"))
+            order = np.lexsort((first, row))
+            row, first, n, item, branches = row[order], first[order], n[order], item[order], branches[order]
+            on = (row[1:] == row[:-1]) & (first[:-1] + n[:-1] == first[1:]) & ~branches[1:] & ~branches[:-1]
+            start = np.flatnonzero(np.r_[True, ~on]) if len(row) else np.zeros(0, np.int64)
+            total = np.add.reduceat(n, start) if len(row) else n
+            paths = pa.StructArray.from_arrays([pa.array(item[start]), pa.array(first[start]), pa.array(total.astype(np.int32))], ["path", "first", "n"])
+            offsets = np.r_[0, np.cumsum(np.bincount(row[start], minlength=len(size)))].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ROW), pa.ListArray.from_arrays(pa.array(offsets), paths)], [*ROW, "spans"])
 
+    return listed.mapInArrow(merge, "r1 long, r2 long, spans array<struct<path:long,first:int,n:int>>")
 
-def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
-    """(row_key, spans): the runs (first, n) of repeated windows of each row that has any."""
-    paths = save(_paths(keyed(docs), window), "paths")
-    nodes = paths.groupBy("minimizer").agg(F.count("*").alias("c"), F.min("content").alias("lo"), F.max("content").alias("hi")).where("c > 1")
-    again = save(paths.join(nodes.select("minimizer", (F.col("lo") != F.col("hi")).alias("branches")), "minimizer").select("row_key", "first", "n", "branches"), "paths-again")
-    drop(paths)
-    listed = F.collect_list(F.struct("first", "n")).alias("spans")
-    # Rows that are equal in id and text share a key and must count as often as they occur: their paths are listed
-    # once (distinct) and every row opens them.
-    opened = keyed(docs).join(again.where("branches").select("row_key", "first", "n").distinct().groupBy("row_key").agg(listed), "row_key")
-    edges = save(_edges(opened.select("row_key", "text", "spans"), window), "edges")
-    twice = edges.groupBy("e1", "e2").agg(F.count("*").alias("c")).where("c > 1").select("e1", "e2")
-    hit = edges.join(twice, ["e1", "e2"]).select("row_key", "first", F.lit(1).alias("n"))
-    out = save(hit.union(again.where("not branches").select("row_key", "first", "n")).distinct().groupBy("row_key").agg(listed), "spans")
-    drop(again, edges)
-    return out
 
+def _verified(found: DataFrame, docs: DataFrame, window: int) -> bool:
+    """Whether the source words of every path occur at least twice."""
+
+    def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, most=SLICE):
+            paths, shas = [], []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                words = text.split()
+                for s in spans:
+                    paths.append(s["path"])
+                    shas.append(hashlib.sha256(b" ".join(words[s["first"] : s["first"] + s["n"] + window - 1])).digest())
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.int64()), pa.array(shas, pa.binary())], ["path", "sha"])
+
+    sources = keyed(docs).join(found, ROW).select("text", "spans").mapInArrow(read, "path long, sha binary")
+    return not sources.groupBy("path", "sha").agg(F.count("*").alias("c")).where("c = 1").limit(1).count()
+
+
+def _built(docs: DataFrame, window: int, seed: int) -> DataFrame:
+    """(r1, r2, spans): the repeated paths of each row that has any."""
+    pieces = save(_pieces(keyed(docs), window, seed), "pieces")
+    runs = pieces.groupBy("run").agg(F.count("*").alias("c"), F.min("content").alias("lo"), F.max("content").alias("hi")).where("c > 1")
+    runs = save(runs.select("run", "c", (F.col("lo") != F.col("hi")).alias("branches")), "runs")
+    again = _met(pieces, runs, "run").select(*ROW, F.struct("first", "n", "content", "branches").alias("s")).distinct()
+    # Rows that are equal in id and text share a key and must count as often as they occur: their pieces are listed once
+    # and every row opens them.
+    listed = save(again.groupBy(*ROW).agg(F.collect_list("s").alias("spans")), "pieces-again")
+    drop(pieces, runs)
+    items = save(_items(keyed(docs).join(listed, ROW).select(*ROW, "text", "spans"), window, seed), "items")
+    drop(listed)
+    alike = (F.min("around") == F.max("around")) & (F.min("around") != 0)
+    twice = items.groupBy("item").agg(F.count("*").alias("c"), (~alike).alias("branches")).where("c > 1")
+    twice = save(twice, "items-again")
+    hits = _met(items, twice, "item").select(*ROW, F.struct("first", "n", "item", "branches").alias("s")).distinct()
+    found = save(_paths(hits.groupBy(*ROW).agg(F.collect_list("s").alias("spans"))), "spans")
+    drop(items, twice)
+    return found
 
-def _covered(n: int, spans, window: int) -> np.ndarray:
-    """Which of ``n`` words lie in a repeated window."""
-    step = np.zeros(n + 1, np.int64)
-    for s in spans:
-        a, b = s["first"], s["first"] + s["n"] + window - 1
-        if b <= n:
-            step[a] += 1
-            step[b] -= 1
-    return np.cumsum(step[:-1]) > 0
+
+def repeated_spans(docs: DataFrame, window: int = 35) -> DataFrame:
+    """(r1, r2, spans): the repeated runs of windows (first, n) of each row that has any."""
+    for seed in count(1):
+        found = _built(docs, window, seed)
+        if _verified(found, docs, window):
+            return found
+        drop(found)
 
 
-def _joined(docs: DataFrame, window: int, *more: str) -> DataFrame:
-    return keyed(docs, *more).join(repeated_spans(docs, window), "row_key", "left")
+def _kept(words: list, spans, window: int) -> list:
+    """The words outside of all spans, which are in order."""
+    out, at = [], 0
+    for s in spans:
+        out += words[at : s["first"]]
+        at = max(at, s["first"] + s["n"] + window - 1)
+    return out + words[at:]
 
 
 def digests(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -155,15 +218,15 @@ def digests(docs: DataFrame, window: int = 35) -> DataFrame:
             n_words, n_removed, sha = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 words = text.split() if text else []
-                gone = _covered(len(words), spans, window) if spans else ()
-                kept = [w for w, g in zip(words, gone) if not g] if spans else words
+                kept = _kept(words, spans, window) if spans else words
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = _joined(docs, window, "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans")
-    return rows.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id")).join(repeated_spans(docs, window), ROW, "left").select("doc_id", "text", "spans")
+    out = save(rows.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string"), "digests")
+    return out
 
 
 def remove(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -174,12 +237,24 @@ def remove(docs: DataFrame, window: int = 35) -> DataFrame:
         for text, spans in texts:
             out = []
             for t, s in zip(text, spans):
-                words = t.encode().split()
-                gone = _covered(len(words), s, window)
-                out.append(b" ".join(w for w, g in zip(words, gone) if not g).decode())
+                out.append(b" ".join(_kept(t.encode().split(), s, window)).decode())
             yield pd.Series(out, dtype=object)
 
-    spans = repeated_spans(docs, window).withColumnsRenamed({"row_key": "_row_key", "spans": "_spans"})
-    rows = docs.withColumn("_row_key", F.xxhash64("doc_id", "text")).join(spans, "_row_key", "left")
-    same, changed = rows.where("_spans is null"), rows.where("_spans is not null")
-    return same.select(*docs.columns).union(changed.withColumn("text", cut("text", "_spans")).select(*docs.columns))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = keyed(docs, row).drop("text").join(repeated_spans(docs, window), ROW, "left")
+    same, changed = rows.where("spans is null"), rows.where("spans is not null")
+    changed = changed.select(F.col("row").withField("text", cut("row.text", "spans")).alias("row"))
+    return same.select("row.*").union(changed.select("row.*"))
+
+
+def oracle_sql(window: int = 35) -> str:
+    """:func:`digests` as DuckDB SQL."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    win AS (SELECT r, i, md5(array_to_string(w[i:i + {window - 1}], ' ')) AS g FROM d, unnest(range(1, len(w) - {window - 2})) AS t(i)),
+    rep AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY g) > 1),
+    gone AS (SELECT DISTINCT r, i + k AS i FROM rep, unnest(range({window})) AS u(k)),
+    words AS (SELECT r, i, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+    kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS s FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""

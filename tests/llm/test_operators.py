@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from helixlake.llm import alignment, dac, decontamination, lm, neardup, packing, quality, sharding, substrings, toxicity, urls
-from helixlake.llm.common import save
+from helixlake.llm.common import save, word_hashes
 
 from .conftest import SCHEMA, SF, edge_texts, rows_of
 
@@ -88,15 +88,13 @@ def classes(texts, similarity=0.8):
 
 
 def test_near_duplicates(docs):
-    members, links = neardup.near_duplicates(docs)
-    got = {r.doc_id: r.class_id for r in members.collect()}
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
     want = classes(texts_of(docs))
     assert got.keys() == want.keys()
     together = lambda x: {(i, j) for i in x for j in x if i < j and x[i] == x[j]}
     true, found = together(want), together(got)
     assert not found - true
     assert len(found) >= 0.98 * len(true)
-    assert all(r.distance is not None for r in links.collect())
 
 
 def test_near_duplicates_in_hot_buckets(spark):
@@ -106,9 +104,9 @@ def test_near_duplicates_in_hot_buckets(spark):
     for i in range(100):
         own = [f"t{i}w{k}" for k in range(60)]
         texts += [own + run, [f"{w}x" if k % 5 == 2 else w for k, w in enumerate(own)] + run]  # 12 edits of 20
-    of = np.array([neardup.sketch(neardup._words.of([w.encode() for w in t]), neardup.multipliers(60)) for t in texts])
+    of = np.array([neardup.sketch(word_hashes([" ".join(t).encode()])[0], neardup.multipliers(60)) for t in texts])
     docs = spark.createDataFrame(rows_of([" ".join(t) for t in texts]), SCHEMA)
-    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs)[0].collect()}
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
     meet = [bool((of[2 * i] == of[2 * i + 1]).any()) for i in range(100)]
     assert sum(meet) > 50
     assert [got[2 * i] == got[2 * i + 1] for i in range(100)] == meet
@@ -116,7 +114,7 @@ def test_near_duplicates_in_hot_buckets(spark):
 
 
 def test_near_duplicates_empty(no_docs):
-    assert neardup.near_duplicates(no_docs)[0].count() == 0
+    assert neardup.classes(no_docs).count() == 0
 
 
 def test_sketch_keeps_order():
@@ -388,7 +386,7 @@ def test_sql_of_quality_and_sharding(spark):
 
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    for name in ("op1_quality_rules", "op7_extendible_sharding", "op10_lm_scoring"):
+    for name in ("op1_quality_rules", "op3_substring_dedup", "op7_extendible_sharding", "op10_lm_scoring"):
         got = queries.QUERIES[name](spark, SF)
         want = con.sql(queries.ORACLES[name])
         assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
