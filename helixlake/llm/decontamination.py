@@ -6,14 +6,17 @@ It matches if its word edit distance to the item is at most (1 - similarity) of
 The CGK embedding walks over a window with random steps: output j repeats the current word and a random bit of (walk,
 j, word) decides whether to move on. Edit distance becomes Hamming distance, on which bit sampling is an LSH. Walks are
 repeated until ``recall`` is reached at the largest distance allowed; how many that takes is measured on simulated edits
-of the items' lengths. Windows that the q-gram lemma proves too far from an item (they share fewer word trigrams
-than ``t`` edits can destroy) are not embedded with it: this loses no match. Every collision is verified exactly.
+of the items' lengths. The sampled places of all items of a block make an index (length, walk, table, key); a window's keys
+look up its candidates there, and every candidate is verified exactly. Windows are embedded where some item of their
+length can match at all: the q-gram lemma rules out the others (they share fewer word trigrams with every item than its
+edits leave), which loses no match. To embed every window of every length would cost some hundred times as much.
 
 Items are taken in blocks of ``block`` and go to the executors with the task, so what is sent is bounded; any number of
-blocks covers any benchmark.
+blocks covers any benchmark, each by one more pass over the documents.
 
 Edge cases: null and empty texts or items match nothing; several items of one text all match; repeated rows repeat
-their results; an empty table on either side gives no rows; extra columns are ignored; long texts are searched whole.
+their results; rows without a doc_id are searched like others (null stays null in the result; :func:`clean` goes by the
+text); an empty table on either side gives no rows; extra columns of any name are ignored; long texts are searched whole.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from .common import WordHashes, batches, binary_text, grams, mix
 
 PAD = np.uint64(0x5BD1E995C0FFEE11)
 TABLES, SAMPLED = 8, 2
-RESULT = "doc_id long, item_id long, start int, n_words int, distance int"
+WINDOW = "item_id long, start int, n_words int, distance int"
 
 
 def form(word: bytes) -> bytes:
@@ -87,7 +90,9 @@ def walks_for(lengths: list[int], similarity: float, recall: float, trials: int
             b[r, : min(n, len(own))] = own[:n]
         same = np.full(trials, n)
         hits = [(keys(cgk(a, w), same, w) == keys(cgk(b, w), same, w)).any(1).mean() for w in range(6)]
-        worst = min(worst, max(0.02, float(np.mean(hits))))
+        worst = min(worst, float(np.mean(hits)))
+    if worst < 0.02:
+        raise ValueError(f"at a similarity of {similarity} a walk finds {worst:.1%} of the matches: too few for this method")
     return max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-9, 1 - worst)))) if worst < 1 else 1
 
 
@@ -117,7 +122,25 @@ class Items:
             table[i, : len(w)] = w
         self.walks = walks_for(sorted(self.lengths.tolist()), similarity, recall)
         self.width = width
-        self.keys = [keys(cgk(table, w), self.lengths, w) for w in range(self.walks)]
+        self.index = []
+        for w in range(self.walks):
+            own = self.labelled(keys(cgk(table, w), self.lengths, w), self.lengths).ravel()
+            order = np.argsort(own, kind="stable")
+            self.index.append((own[order], order // TABLES))
+
+    @staticmethod
+    def labelled(k: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Keys made different by window length and table."""
+        return mix(k + lengths.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(k.shape[1], dtype=np.uint64))
+
+    def met(self, walk: int, k: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """(window, item) of all items in a bucket of each window."""
+        own, items = self.index[walk]
+        k = self.labelled(k, lengths).ravel()
+        lo, hi = np.searchsorted(own, k), np.searchsorted(own, k, side="right")
+        n = hi - lo
+        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(np.arange(len(k)) // TABLES, n) * len(self.ids) + items[at]
 
     def starts(self, h: np.ndarray, doc: np.ndarray, start: np.ndarray, lens: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, first, last) ranges of window starts that the q-gram lemma leaves."""
@@ -165,47 +188,57 @@ class Items:
         h = _words.of(words)
         start = np.cumsum(lens) - lens
         ranges = self.starts(h, np.repeat(np.arange(len(lens)), lens), start, lens)
-        at = [(d, i, s) for d, i, a, b in ranges for s in range(a, b + 1)]
+        # A window of each length some item of which may match there; which items do is found by the index.
+        at = sorted({(d, int(self.lengths[i]), s) for d, i, a, b in ranges for s in range(a, b + 1)})
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for lo in range(0, len(at), 20_000):
-            part = np.array(at[lo : lo + 20_000])
-            d, i, s = part.T
-            n = np.minimum(self.lengths[i], lens[d] - s)
+            d, length, s = np.array(at[lo : lo + 20_000]).T
+            n = np.minimum(length, lens[d] - s)
             cols = np.arange(self.width)
             place = np.minimum((start[d] + s)[:, None] + cols, len(h) - 1)
             windows = np.where(cols < n[:, None], h[place], PAD)
-            met = np.zeros(len(part), bool)
-            for w in range(self.walks):
-                if not len(rest := np.flatnonzero(~met)):
-                    break
-                met[rest] = (keys(cgk(windows[rest], w), self.lengths[i[rest]], w) == self.keys[w][i[rest]]).any(1)
-            for r in np.flatnonzero(met):
-                x = edit_distance(windows[r, : n[r]], self.words[i[r]], int(self.limits[i[r]]))
+            pairs = [self.met(w, keys(cgk(windows[:, : int(length.max())], w), length, w), length) for w in range(self.walks)]
+            for pair in np.unique(np.concatenate(pairs)).tolist():
+                r, i = divmod(pair, len(self.ids))
+                x = edit_distance(windows[r, : n[r]], self.words[i], int(self.limits[i]))
                 if x is not None:
-                    key, found = (int(d[r]), int(i[r])), (x, int(s[r]), int(n[r]))
+                    key, found = (int(d[r]), i), (x, int(s[r]), int(n[r]))
                     best[key] = min(best.get(key, found), found)
         return [(d, i, s, n, x) for (d, i), (x, s, n) in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, block: int = 5000) -> DataFrame:
-    """doc_id, item_id and the best matching window (start, n_words, distance) of every pair that matches."""
+def _found(texts: DataFrame, benchmark: DataFrame, similarity: float, recall: float, block: int) -> DataFrame:
+    """Keys (long) of texts (keys, then text) with the items that match and their best window."""
+    names = texts.columns[:-1]
 
     def search(items: Items):
         def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(rows, size=10_000, most=8 << 20):
                 found = items.matches(batch.column("text").to_pylist())
-                ids = batch.column("doc_id").to_pylist()
-                columns = [[ids[f[0]] for f in found], [items.ids[f[1]] for f in found], *([f[c] for f in found] for c in (2, 3, 4))]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "item_id", "start", "n_words", "distance"])
+                at = pa.array([f[0] for f in found], pa.int64())
+                columns = [batch.column(c).take(at) for c in names] + [pa.array([items.ids[f[1]] for f in found], pa.int64())]
+                columns += [pa.array([f[c] for f in found], pa.int32()) for c in (2, 3, 4)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "item_id", "start", "n_words", "distance"])
 
         return run
 
-    texts = binary_text(docs, F.col("doc_id").cast("long").alias("doc_id"))
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     blocks = max(1, math.ceil(rows.count() / block))
-    parts = []
+    schema, parts = ", ".join(f"{c} long" for c in names) + ", " + WINDOW, []
     for b in range(blocks):  # a block has about ``block`` items, and each is one pass over the documents
         own = [(r.item_id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
-        parts.append(texts.mapInArrow(search(Items(own, similarity, recall)), RESULT))
+        parts.append(texts.mapInArrow(search(Items(own, similarity, recall)), schema))
     return reduce(DataFrame.union, parts)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, block: int = 5000) -> DataFrame:
+    """doc_id, item_id and the best matching window (start, n_words, distance) of every pair that matches."""
+    return _found(binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")), benchmark, similarity, recall, block)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, block: int = 5000) -> DataFrame:
+    """The rows of ``docs`` whose text matches no item, known by two hashes of the text."""
+    key = [F.xxhash64(F.lit(k), "text").alias(f"t{k}") for k in (1, 2)]
+    leaks = _found(docs.select(*key, F.col("text").cast("binary").alias("text")), benchmark, similarity, recall, block)
+    rows = docs.select(*key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(leaks.select("t1", "t2").distinct(), ["t1", "t2"], "left_anti").select("row.*")

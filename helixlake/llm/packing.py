@@ -4,7 +4,7 @@ Each group of pieces is packed by best-fit decreasing. Dual-feasible functions (
 threshold functions, and the u(k) and phi(eps) families of Fekete and Schepers) bound from below the bins that the
 group needs; where that bound equals the bins used, the group is certified and final. Groups with a gap keep their
 full bins and give up the documents of the others; these meet in new groups and are packed again. A round that does
-not save a bin is dropped and ends the exchange.
+not save a bin is dropped and ends the exchange, as does one that certifies every group.
 
 Edge cases: a null text counts as empty, so its only id is the end id; an empty table gives no rows; repeated rows
 are packed as often as they occur; extra columns are ignored.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -93,19 +94,19 @@ def packer(capacity: int, turn: int):
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
         sure = len(fill) == lower_bound(lengths, capacity)
-        pdf = pdf.assign(sequence_id=((turn << 28) + int(pdf["grp"].iloc[0]) << 32) + bins, offset=offsets, certified=sure)
+        pdf = pdf.assign(sequence_id=((turn << 28) + int(pdf["grp"].iloc[0]) << 28) + bins, offset=offsets, certified=sure)
         return pdf.assign(again=(not sure) & (fill[bins] < capacity)).drop(columns="grp")
 
     return best_fit
 
 
-def pack(items: DataFrame, capacity: int = 1024, group_items: int = 30_000, rounds: int = 4) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 1024, group_items: int = 30_000) -> DataFrame:
     """``items`` (a table: it is read once a round) with sequence_id, offset and certified."""
     columns = items.columns
     fields = ", ".join(f"{n} {t}" for n, t in items.dtypes)
     done: list[DataFrame] = []
     todo, bins_before = items, None
-    for turn in range(rounds):
+    for turn in count():
         n = todo.count()
         if not n:
             break
@@ -135,6 +136,6 @@ def pack(items: DataFrame, capacity: int = 1024, group_items: int = 30_000, roun
     return out.drop("again")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_items: int = 30_000, rounds: int = 4) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_items: int = 30_000) -> DataFrame:
     """The pieces of all documents and their places; pieces are tokenized once and kept in a table."""
-    return pack(save(pieces(docs, tokenizer, capacity), "pieces"), capacity, group_items, rounds)
+    return pack(save(pieces(docs, tokenizer, capacity), "pieces"), capacity, group_items)

@@ -27,7 +27,7 @@ el la los las de y en que un una por con para es se del al lo no
 
 #: name, metric, least, most (None: no limit). A text must lie within every limit.
 RULES: list[tuple[str, str, float | None, float | None]] = [
-    ("words", "n_words", 50, 1_000_000),
+    ("words", "n_words", 50, None),
     ("mean_word_length", "mean_word_length", 2.0, 14.0),
     ("symbols_per_word", "symbol_ratio", None, 0.1),
     ("stop_words", "n_stop_words", 2, None),
