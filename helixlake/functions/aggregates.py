@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scalars import strip_sq
@@ -25,12 +25,23 @@ def streamed_set_root(digests: DataFrame, column: str = "digest") -> str:
 
 
 def examples(value: Column, most: int = 8) -> Column:
-    """The first ``most`` values in order, and how many more there are."""
+    """The first ``most`` values in order, and how many more there are. For groups of a bounded size; see :func:`top`."""
     every = F.array_sort(F.collect_set(value))
     rest = F.size(every) - most
     return F.concat(F.array_join(F.slice(every, 1, most), ";"), F.when(rest > 0, F.concat(F.lit(";+"), rest.cast("string"))).otherwise(""))
 
 
+def top(rows: DataFrame, keys: list[str], value: str, most: int = 8) -> DataFrame:
+    """(keys, shown): as :func:`examples`, for groups of any size: a row holds ``most`` values at most."""
+    own = rows.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
+    first = own.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    shown = first.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(value)), ";").alias("_first"))
+    total = own.groupBy(*keys).agg(F.count("*").alias("_n"))
+    more = F.when(F.col("_n") > most, F.concat(F.lit(";+"), (F.col("_n") - most).cast("string"))).otherwise("")
+    return shown.join(total, keys).select(*keys, F.concat("_first", more).alias("shown"))
+
+
 def names(value: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(value)), ";")
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import fnmatch
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 #: IUPAC bases and their complements, in either case.
 BASES, COMPLEMENTS = "ACGTUMRWSYKVHDBNacgtumrwsykvhdbn", "TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn"
@@ -110,18 +112,90 @@ def substitutions(a: Column, b: Column) -> Column:
     return F.transform(F.filter(places, lambda i: at(a, i) != at(b, i)), lambda i: F.struct((i - 1).alias("at"), F.concat(at(a, i), F.lit(">"), at(b, i)).alias("change")))
 
 
-def mismatch_cause(expected: Column, found: Column) -> Column:
-    """Why two versions of a sequence differ, by the changes between them."""
-    changes = F.transform(substitutions(expected, found), lambda s: s["change"])
+#: IUPAC codes of more than one base, but N.
+AMBIGUOUS = "BDHKMRSVWY"
+
+
+def mismatch_cause(namespace: Column, left: Column, right: Column, left_digest: Column, right_digest: Column) -> Column:
+    """Why two sides give a name different digests: the left one drops stop codons before it hashes; one side of an
+    Ensembl pair writes N for ambiguous bases; the sequences differ otherwise; or only the digests do."""
+    changes = F.array_distinct(F.transform(substitutions(left, right), lambda s: s["change"]))
+    to_n = F.array(*(F.lit(x) for b in AMBIGUOUS for x in (f"{b}>N", f"N>{b}")))
+    stops = (left == right) & left.contains("*") & (sha512t24u(left) == right_digest) & (sha512t24u(F.replace(left, F.lit("*"), F.lit(""))) == left_digest)
+    masked = (namespace == "ensembl") & (F.length(left) == F.length(right)) & (F.size(changes) > 0) & (F.size(F.array_except(changes, to_n)) == 0)
     return (
-        F.when(expected == found, "same")
-        .when(F.length(expected) != F.length(found), "length")
-        .when(F.forall(changes, lambda c: c.startswith("*") | c.endswith("*")), "stop_codon")
-        .when(F.forall(changes, lambda c: c.endswith(">N") | c.startswith("N>")), "ambiguity")
-        .otherwise("divergence")
+        F.when(stops, "ensembl_stop_codon_digest_normalization")
+        .when(masked, "ensembl_iupac_to_n_normalization")
+        .when(left != right, "sequence_divergence_unexplained")
+        .otherwise("unexplained_digest_algorithm")
     )
 
 
+def difference(a: Column, b: Column) -> Column:
+    """(first differing index, number of differences with the difference in length, that difference)."""
+    found, more = substitutions(a, b), F.abs(F.length(a) - F.length(b))
+    first = F.when(F.size(found) > 0, F.get(found, F.lit(0))["at"]).when(more > 0, F.least(F.length(a), F.length(b)))
+    return F.struct(first.alias("first"), (F.size(found) + more).alias("n"), (F.length(b) - F.length(a)).alias("length_delta"))
+
+
+def recovered(padded: Column, digest_of_trimmed: Column) -> Column:
+    """How a padded record's real bases are found elsewhere: forward, reverse or no. The digest is that of the bases
+    between the N at both ends, or of their reverse complement."""
+    span = F.rtrim(F.ltrim(padded, F.lit("Nn")), F.lit("Nn"))
+    return F.when(sha512t24u(span) == digest_of_trimmed, "forward").when(sha512t24u(reverse_complement(span)) == digest_of_trimmed, "reverse").otherwise("no")
+
+
+def padded_length(span_start: Column, span_end: Column, length: Column, inserted: Column) -> Column:
+    """Length of a chromosome of ``length`` where ``inserted`` bases stand for the span (1-based, inclusive)."""
+    return (span_start - 1) + inserted + (length - span_end)
+
+
+def human_bytes(n: Column) -> Column:
+    """Bytes in the largest binary unit that leaves a whole part, with one decimal."""
+    out = F.concat(n.cast("string"), F.lit(" B"))
+    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
+        out = F.when(n >= 1 << 10 * k, F.format_string(f"%.1f {unit}", F.bround(n / float(1 << 10 * k), 1))).otherwise(out)
+    return out
+
+
+def relative_path(path: Column, folder: str) -> Column:
+    """The path below ``folder``; any other path as it is."""
+    root = folder.rstrip("/") + "/"
+    return F.when(path.startswith(root), F.substring(path, F.lit(len(root) + 1), F.length(path))).otherwise(path)
+
+
+#: Bases of the 4-bit codes, as first written and as corrected.
+CODES_FIRST, CODES = "NACMGRSKTWYDBHVV", "NACMGRSKTWYDBDHV"
+
+
+def unpack_codes(payload: Column, length: Column, table: str = CODES) -> Column:
+    """Bases of 4-bit codes, high half first: each hexadecimal digit is one code."""
+    return F.substring(F.translate(F.hex(payload), "0123456789ABCDEF", table), F.lit(1), length)
+
+
+@F.pandas_udf(BooleanType())
+def gzip_ok(content: pd.Series) -> pd.Series:
+    """Whether a file is a whole gzip stream, its checksums included."""
+    import zlib
+
+    def whole(raw: bytes) -> bool:
+        try:
+            while raw:
+                part = zlib.decompressobj(31)
+                for i in range(0, len(raw), 1 << 20):
+                    part.decompress(raw[i : i + (1 << 20)])
+                    if part.eof:
+                        raw = part.unused_data + raw[i + (1 << 20) :]
+                        break
+                else:
+                    return False
+            return True
+        except zlib.error:
+            return False
+
+    return content.map(lambda raw: bool(raw) and whole(bytes(raw)))
+
+
 def padding(residues: Column) -> dict[str, Column]:
     """Real bases, and the span between the N at both ends (1-based, inclusive)."""
     left = F.length(F.ltrim(residues, F.lit("Nn")))

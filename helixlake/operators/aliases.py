@@ -70,11 +70,32 @@ def forbidden_prefixes(aliases: DataFrame, prefixes: list[str]) -> DataFrame:
 
 
 def release_groups(rows: DataFrame) -> DataFrame:
-    """(group, release, alias, digest) as immutable ``group-release`` namespaces and the rolling one of the newest release."""
-    newest = F.dense_rank().over(Window.partitionBy("group").orderBy(F.desc("release"))) == 1
-    out = rows.withColumn("_newest", newest)
-    fixed = out.select(F.concat_ws("-", "group", "release").alias("namespace"), "alias", "digest")
-    return fixed.union(out.where("_newest").select(F.col("group").alias("namespace"), "alias", "digest")).distinct()
+    """(group, release, alias, digest) as immutable ``group-release`` namespaces and the rolling one of the newest release.
+
+    The newest release is an aggregate of the group, a row each, so no group is sorted."""
+    newest = rows.groupBy("group").agg(F.max("release").alias("release"))
+    fixed = rows.select(F.concat_ws("-", "group", "release").alias("namespace"), "alias", "digest")
+    rolling = rows.join(newest, ["group", "release"], "left_semi").select(F.col("group").alias("namespace"), "alias", "digest")
+    return fixed.union(rolling).distinct()
+
+
+def publish(rows: DataFrame, processed: DataFrame, expected: DataFrame) -> DataFrame:
+    """Namespaces of the releases that are complete: a partial one publishes nothing. A name that means two digests
+    within a release is an error."""
+    whole = rows.join(complete_groups(processed, expected), ["group", "release"], "left_semi")
+    if bad := whole.groupBy("group", "release", "alias").agg(F.count_distinct("digest").alias("n")).where("n > 1").limit(3).collect():
+        raise ValueError(f"names with two digests in a release: {[(r.group, r.release, r.alias) for r in bad]}")
+    return release_groups(whole)
+
+
+def collection_aliases(headers: DataFrame) -> DataFrame:
+    """(namespace, alias, digest) of collections by a report's header (refseq, genbank, digest); NA names nothing."""
+    pairs = F.array(F.struct(F.lit("refseq").alias("namespace"), F.col("refseq").alias("alias")), F.struct(F.lit("insdc").alias("namespace"), F.col("genbank").alias("alias")))
+    return headers.select("digest", F.explode(F.filter(pairs, lambda x: ~is_na(x["alias"]))).alias("x")).select("x.*", "digest").distinct()
+
+
+def forbidden_namespaces(aliases: DataFrame, names: list[str]) -> DataFrame:
+    return aliases.where(F.col("namespace").isin(names)).select("namespace").distinct()
 
 
 def complete_groups(processed: DataFrame, expected: DataFrame) -> DataFrame:

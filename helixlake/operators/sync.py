@@ -65,10 +65,29 @@ def merge_lock(old: DataFrame, new: DataFrame, scope: DataFrame) -> DataFrame:
 
 
 def orphans_after(sequences: DataFrame, members: DataFrame, removed: DataFrame) -> DataFrame:
-    """Sequences that only the removed collections hold."""
-    left = members.join(removed.select("collection").distinct(), "collection", "left_anti")
-    gone = members.join(removed.select("collection").distinct(), "collection", "left_semi").select("digest").distinct()
-    return sequences.join(gone, "digest", "left_semi").join(left.select("digest"), "digest", "left_anti")
+    """Sequences that only the removed collections hold: one aggregate a digest says whether all its collections go."""
+    gone = removed.select("collection").distinct().withColumn("_gone", F.lit(True))
+    marked = members.join(gone, "collection", "left").groupBy("digest").agg(F.count_if(F.col("_gone").isNull()).alias("_kept"))
+    return sequences.join(marked.where("_kept = 0"), "digest", "left_semi")
+
+
+def touched_namespaces(owners: DataFrame, namespaces: DataFrame) -> DataFrame:
+    """Owners (owner, namespace) that feed any namespace which one of ``owners`` feeds."""
+    hit = namespaces.join(owners.select("owner").distinct(), "owner", "left_semi").select("namespace").distinct()
+    return namespaces.join(hit, "namespace", "left_semi").select("owner").distinct()
+
+
+def merge_outputs(old: DataFrame, census: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Lock collections (collection, n, from) after a partial run: as the store now holds them; the files of one that the
+    run did not touch are carried over."""
+    new = annotate_outputs(census, provenance, provenance)
+    return new.join(old.select("collection", F.col("from").alias("_old")), "collection", "left").select("collection", "n", F.when(F.size("from") > 0, F.col("from")).otherwise(F.coalesce("_old", "from")).alias("from"))
+
+
+def contributors(sources_of: DataFrame) -> DataFrame:
+    """One row: collections, those that several files feed, and the most files of any."""
+    own = sources_of.groupBy("collection").agg(F.count_distinct("path").alias("n"))
+    return own.agg(F.count("*").alias("collections"), F.count_if(F.col("n") > 1).alias("shared"), F.max("n").alias("widest"))
 
 
 def matching_collections(sources_of: DataFrame, lock: DataFrame, text: str) -> DataFrame:

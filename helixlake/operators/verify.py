@@ -23,14 +23,16 @@ def union(*findings: DataFrame) -> DataFrame:
 
 
 def cache(lock: DataFrame, files: DataFrame, hashes: bool = True) -> DataFrame:
-    """Locked files (cache_path, bytes, sha256, present) against those found (cache_path, bytes, sha256, gzip_ok)."""
+    """Locked files (cache_path, bytes, sha256, present) against those found (cache_path, bytes, sha256, gzip_ok). A file
+    that is there gets a finding for each of size, hash and gzip that is wrong."""
     now = files.select("cache_path", F.col("bytes").alias("_b"), F.col("sha256").alias("_s"), F.col("gzip_ok").alias("_g"))
     out = lock.where("present").join(now, "cache_path", "left")
-    code = F.when(F.col("_b").isNull() | (F.col("_b") == 0), "cache.missing").when(F.col("_b") != F.col("bytes"), "cache.size_mismatch")
+    gone = F.col("_b").isNull() | (F.col("_b") == 0)
+    wrong = [F.when(gone, "cache.missing"), F.when(~gone & (F.col("_b") != F.col("bytes")), "cache.size_mismatch")]
     if hashes:
-        code = code.when(F.col("_s") != F.col("sha256"), "cache.sha256_mismatch")
-    code = code.when(~F.coalesce("_g", F.lit(True)), "cache.gzip_corrupt")
-    return finding(out.withColumn("_code", code).where("_code is not null"), F.col("_code"), "error", "cache_path")
+        wrong.append(F.when(~gone & (F.col("_s") != F.col("sha256")), "cache.sha256_mismatch"))
+    wrong.append(F.when(~gone & ~F.col("_g"), "cache.gzip_corrupt"))
+    return finding(out.withColumn("_code", F.explode(F.array_compact(F.array(*wrong)))), F.col("_code"), "error", "cache_path")
 
 
 def membership(locked: DataFrame, census: DataFrame) -> DataFrame:
@@ -60,9 +62,19 @@ def redigest(recomputed: DataFrame, baseline: DataFrame) -> DataFrame:
     return finding(out.withColumn("_code", code).withColumn("_sev", severity).where("_code is not null"), F.col("_code"), F.col("_sev"), "digest", F.coalesce("cause", F.lit("")))
 
 
-def manifest(sources_status: DataFrame) -> DataFrame:
+def manifest(sources_status: DataFrame, config_sha256: str | None = None, locked_sha256: str | None = None) -> DataFrame:
     code = F.when(F.col("status") == "new", "manifest.file_added").when(F.col("status") == "only_in_lock", "manifest.file_removed").when(F.col("status") == "upstream_changed", "manifest.checksum_changed")
-    return finding(sources_status.withColumn("_code", code).where("_code is not null"), F.col("_code"), "error", "url")
+    out = finding(sources_status.withColumn("_code", code).where("_code is not null"), F.col("_code"), "error", "url")
+    if config_sha256 == locked_sha256:
+        return out
+    changed = sources_status.sparkSession.createDataFrame([("manifest.config_changed", "warn", "manifest", f"{locked_sha256} {config_sha256}")], out.schema)
+    return out.unionByName(changed)
+
+
+def remote(sizes: DataFrame) -> DataFrame:
+    """(url, bytes, remote; null: unknown): warnings only, as a server's word proves nothing about the cache."""
+    code = F.when(F.col("remote").isNull(), "remote.size_unavailable").when(F.col("remote") != F.col("bytes"), "remote.size_mismatch")
+    return finding(sizes.withColumn("_code", code).where("_code is not null"), F.col("_code"), "warn", "url")
 
 
 def severity_rank() -> Column:
@@ -86,15 +98,17 @@ def failed(findings: DataFrame) -> bool:
 
 
 def repair_plan(findings: DataFrame, members: DataFrame, sources_of: DataFrame, lock: DataFrame) -> DataFrame:
-    """(action, path, owner, codes): refetch for cache codes, reingest for store codes, else unrepairable or ignored."""
-    serious = findings.where("severity <> 'info'")
+    """(action, path, owner, codes): refetch for cache codes, reingest for store codes, else unrepairable or ignored.
+
+    Findings are classified once. A row carries the digest, the collection or the path that it is about; one chain of left
+    joins turns digests to collections and collections to paths."""
     group = F.when(F.col("severity") == "warn", "ignored").when(F.col("code").isin(CACHE_CODES), "refetch").when(F.col("code").isin(STORE_CODES), "reingest").otherwise("unrepairable")
-    f = serious.withColumn("action", group)
-    direct = f.where("action = 'refetch'").select("action", F.col("subject").alias("path"), "code")
-    by_seq = f.where("code = 'store.seq_file_missing'").join(members.select(F.col("digest").alias("subject"), "collection"), "subject").select("action", "collection", "code")
-    by_col = f.where("action = 'reingest' and code <> 'store.seq_file_missing'").select("action", F.col("subject").alias("collection"), "code")
-    planned = direct.unionByName(by_seq.unionByName(by_col).distinct().join(sources_of, "collection").select("action", "path", "code"))
-    owner = lock.select("path", F.concat_ws("/", "kind", "owner").alias("owner"))
-    planned = planned.join(owner, "path", "left").groupBy("action", "path", "owner").agg(F.array_sort(F.collect_set("code")).alias("codes"))
-    rest = f.where("action in ('ignored', 'unrepairable')").select("action", F.col("subject").alias("path"), F.lit(None).cast("string").alias("owner"), F.array("code").alias("codes"))
-    return planned.unionByName(rest.distinct())
+    is_digest = F.col("code") == "store.seq_file_missing"
+    f = findings.where("severity <> 'info'").withColumn("action", group)
+    f = f.select("action", "code", F.when((F.col("action") == "reingest") & is_digest, F.col("subject")).alias("digest"), F.when((F.col("action") == "reingest") & ~is_digest, F.col("subject")).alias("_col"), F.when(F.col("action") != "reingest", F.col("subject")).alias("_path"))
+    f = f.join(members.select("digest", F.col("collection").alias("_of")), "digest", "left").select("action", "code", F.coalesce("_col", "_of").alias("collection"), "_path").distinct()
+    f = f.join(sources_of.select("collection", F.col("path").alias("_from")), "collection", "left").select("action", "code", F.coalesce("_path", "_from").alias("path")).where("path is not null")
+    acts = F.col("action").isin("refetch", "reingest")
+    f = f.join(lock.select("path", F.concat_ws("/", "kind", "owner").alias("owner")), "path", "left").withColumn("owner", F.when(acts, F.col("owner")))
+    alone = F.when(~acts, F.col("code"))  # what is not acted on stays a row a code
+    return f.groupBy("action", "path", "owner", alone.alias("_alone")).agg(F.array_sort(F.collect_set("code")).alias("codes")).drop("_alone")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from helixlake.functions import aggregates as agg
 from helixlake.functions import scalars as fn
 from helixlake.operators import aliases, exclusion, parity, sync, verify
+from helixlake.sources import manifest
 from helixlake.streaming import events as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,14 +106,165 @@ def namespace_agreement(spark, d):
     return parity.namespace_agreement(left(spark, d), right(spark, d))
 
 
-@query(""", x AS (SELECT alias, min(digest) AS l FROM l WHERE namespace = 'A' GROUP BY alias), y AS (SELECT alias, digest AS r FROM r WHERE namespace = 'A'),
-    vs AS (SELECT split_part(alias, '.', 1) AS base, max(split_part(alias, '.', 2)::BIGINT) AS top FROM y GROUP BY 1), k AS (SELECT DISTINCT alias FROM l WHERE namespace = 'R')
-    SELECT x.alias, x.l AS left_digest, y.r AS right_digest, CASE WHEN x.l = y.r THEN 'equal' WHEN y.r IS NOT NULL AND k.alias IS NOT NULL THEN 'known_divergence' WHEN y.r IS NOT NULL THEN 'mismatch'
-    WHEN vs.top > split_part(x.alias, '.', 2)::BIGINT THEN 'newer_version' WHEN x.l IN (SELECT r FROM y) THEN 'digest_elsewhere' WHEN vs.base IS NOT NULL THEN 'other_version' ELSE 'missing' END AS category
-    FROM x LEFT JOIN y USING (alias) LEFT JOIN k USING (alias) LEFT JOIN vs ON vs.base = split_part(x.alias, '.', 1)""")
+#: The left inventory here also holds names without a version, and ones above any version of the right side.
+EQUIVALENCE = """, x AS (SELECT alias, min(l) AS l FROM (SELECT CASE l_partkey % 7 WHEN 0 THEN 'P_' || l_partkey WHEN 1 THEN 'P_' || l_partkey || '.99' WHEN 2 THEN 'Q_' || l_partkey ELSE 'P_' || l_partkey || '.' || min(l_linenumber) END AS alias,
+      md5(min(l_suppkey)::VARCHAR) AS l FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_partkey) GROUP BY alias), y AS (SELECT alias, digest AS r FROM r WHERE namespace = 'A'),
+    vs AS (SELECT split_part(alias, '.', 1) AS base, max(split_part(alias, '.', 2)::BIGINT) AS top FROM y GROUP BY 1), k AS (SELECT DISTINCT alias FROM l WHERE namespace = 'R'),
+    eq AS (SELECT x.alias, x.l AS left_digest, y.r AS right_digest, CASE WHEN x.l = y.r THEN 'matched' WHEN y.r IS NOT NULL AND k.alias IS NOT NULL THEN 'mismatch_explained' WHEN y.r IS NOT NULL THEN 'mismatch_unexplained'
+    WHEN vs.top IS NOT NULL AND (strpos(x.alias, '.') = 0 OR vs.top > split_part(x.alias, '.', 2)::BIGINT) THEN 'superseded_old_version' WHEN vs.top IS NOT NULL THEN 'backfill_candidate' WHEN x.l IN (SELECT r FROM y) THEN 'alias_naming_gap' ELSE 'sequence_missing' END AS category,
+    CASE WHEN x.l <> y.r THEN CASE WHEN k.alias IS NOT NULL THEN 'R' ELSE 'unexplained' END END AS cause
+    FROM x LEFT JOIN y USING (alias) LEFT JOIN k USING (alias) LEFT JOIN vs ON vs.base = split_part(x.alias, '.', 1))"""
+
+
+def _named(spark, d) -> DataFrame:
+    rows = t(spark, d, "lineitem").where("l_returnflag = 'A'").groupBy("l_partkey").agg(F.min("l_linenumber").alias("v"), F.min("l_suppkey").alias("s"))
+    part, kind = text("l_partkey"), F.col("l_partkey") % 7
+    name = F.when(kind == 0, F.concat(F.lit("P_"), part)).when(kind == 1, F.concat(F.lit("P_"), part, F.lit(".99"))).when(kind == 2, F.concat(F.lit("Q_"), part)).otherwise(F.concat(F.lit("P_"), part, F.lit("."), text("v")))
+    return rows.select(name.alias("alias"), F.md5(text("s")).alias("digest")).groupBy("alias").agg(F.min("digest").alias("digest"))
+
+
+def _equivalence(spark, d) -> DataFrame:
+    r = right(spark, d).where("namespace = 'A'")
+    divergent = left(spark, d).where("namespace = 'R'").select("alias", F.lit("R").alias("cause"))
+    return parity.equivalence(_named(spark, d), r, divergent, r)
+
+
+@query(EQUIVALENCE + " SELECT * FROM eq")
 def alias_equivalence(spark, d):
-    l, r = left(spark, d), right(spark, d).where("namespace = 'A'")
-    return parity.equivalence(l.where("namespace = 'A'").groupBy("alias").agg(F.min("digest").alias("digest")), r, l.where("namespace = 'R'"), r)
+    return _equivalence(spark, d)
+
+
+@query(EQUIVALENCE + " SELECT alias, category, CASE WHEN substr(alias, 3, 1) = '_' THEN substr(alias, 1, 3) WHEN regexp_full_match(substr(alias, 1, 4), '[A-Za-z]{4}') THEN substr(alias, 1, 4) ELSE substr(alias, 1, 3) END AS prefix, left_digest AS digest FROM eq WHERE right_digest IS NULL")
+def gap_list(spark, d):
+    r = right(spark, d).where("namespace = 'A'")
+    return parity.gaps(_named(spark, d), r, r)
+
+
+@query(EQUIVALENCE + """ SELECT *, unexplained = 0 AND missing = 0 AND naming_gaps = 0 AS compatible FROM (SELECT count(*) FILTER (core AND category = 'mismatch_unexplained') AS unexplained, count(*) FILTER (core AND category = 'mismatch_explained') AS explained,
+    count(*) FILTER (core AND category = 'sequence_missing') AS missing, count(*) FILTER (core AND category = 'alias_naming_gap') AS naming_gaps, count(*) FILTER (category = 'backfill_candidate') AS backfill FROM (SELECT category, alias LIKE 'P%' AS core FROM eq))""")
+def verdict(spark, d):
+    return parity.verdict(_equivalence(spark, d).select("category", F.col("alias").startswith("P").alias("core")), "gaps")
+
+
+@query(""", g AS (SELECT digest, bool_or(namespace = 'A') AS m, bool_or(namespace = 'N') AS dr FROM l GROUP BY digest), h AS (SELECT *, digest IN (SELECT md5(s_suppkey::VARCHAR) FROM supplier WHERE s_nationkey < 9) AS held FROM g)
+    SELECT *, round(100.0::DOUBLE * present / greatest(digests, 1), 4) AS coverage FROM (SELECT count(*) AS digests, count(*) FILTER (held) AS present, count(*) FILTER (NOT held) AS missing, count(*) FILTER (NOT held AND m) AS missing_mapped,
+    count(*) FILTER (NOT held AND NOT m AND dr) AS missing_drift, count(*) FILTER (NOT held AND NOT m AND NOT dr) AS missing_other FROM h)""")
+def digest_coverage(spark, d):
+    held = t(spark, d, "supplier").where("s_nationkey < 9").select(F.md5(text("s_suppkey")).alias("digest"))
+    return parity.digest_coverage(left(spark, d), held, ["A"], ["N"], [])
+
+
+NAMED = """, a AS (SELECT n_name AS namespace FROM nation JOIN customer ON c_nationkey = n_nationkey), b AS (SELECT n_name AS namespace FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_nationkey % 2 = 0)"""
+
+
+def _namespaces(spark, d):
+    nation = t(spark, d, "nation")
+    a = nation.join(t(spark, d, "customer"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("namespace"))
+    return a, nation.where("n_nationkey % 2 = 0").join(t(spark, d, "supplier"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("namespace"))
+
+
+@query(NAMED + """ SELECT namespace, CASE WHEN namespace = 'NATION_2' THEN 'mapped' WHEN namespace = 'NATION_3' THEN 'expected_omit' WHEN namespace = 'NATION_5' THEN 'version_drift' ELSE 'unrecognized' END AS status, CASE WHEN namespace = 'NATION_2' THEN 'NATION_4' END AS target, count(*) AS n FROM a GROUP BY namespace
+    UNION ALL SELECT namespace, 'right_only', NULL, count(*) FROM b WHERE namespace <> 'NATION_4' GROUP BY namespace""")
+def namespace_classes(spark, d):
+    a, b = _namespaces(spark, d)
+    return parity.classify_namespaces(a, b, {"NATION_2": "NATION_4"}, ["NATION_3"], ["NATION_5"])
+
+
+@query(NAMED + """, x AS (SELECT lower(namespace) AS canonical, bool_or(namespace = 'NATION_3') AS omit FROM a GROUP BY 1), y AS (SELECT DISTINCT lower(namespace) AS canonical FROM b)
+    SELECT coalesce(x.canonical, y.canonical) AS canonical, CASE WHEN y.canonical IS NULL THEN 'left_only' WHEN x.canonical IS NULL THEN 'right_only' ELSE 'both' END AS status,
+    CASE WHEN x.canonical IS NOT NULL AND y.canonical IS NOT NULL THEN 'compared name by name' WHEN y.canonical IS NULL AND omit THEN 'restates the digest, omitted by design' WHEN y.canonical IS NULL THEN 'not loaded by the build' ELSE 'not carried by the left side' END AS reason FROM x FULL JOIN y USING (canonical)""")
+def namespace_correspondence(spark, d):
+    a, b = _namespaces(spark, d)
+    return parity.namespace_correspondence(a, b, F.lower("namespace"), ["NATION_3"])
+
+
+@query(", m AS (SELECT DISTINCT l_suppkey::VARCHAR AS collection, l_partkey::VARCHAR AS digest, l_returnflag AS name FROM lineitem), p AS (SELECT DISTINCT l_suppkey::VARCHAR AS collection, l_linestatus AS path FROM lineitem) SELECT DISTINCT digest, name, path FROM m JOIN p USING (collection)")
+def occurrence_index(spark, d):
+    rows = t(spark, d, "lineitem").select(text("l_suppkey").alias("collection"), text("l_partkey").alias("digest"), F.col("l_returnflag").alias("name"), F.col("l_linestatus").alias("path"))
+    return parity.occurrences(rows.select("collection", "digest", "name").distinct(), rows.select("collection", "path").distinct())
+
+
+@query(", k AS (SELECT DISTINCT o_orderstatus AS namespace, o_custkey::VARCHAR AS alias FROM orders), w AS (SELECT n.namespace, c_custkey::VARCHAR AS alias FROM customer, (VALUES ('F'), ('O')) n(namespace)) SELECT * FROM w EXCEPT SELECT * FROM k")
+def unresolved_accessions(spark, d):
+    names = t(spark, d, "orders").select(F.col("o_orderstatus").alias("namespace"), text("o_custkey").alias("alias"))
+    return parity.unresolved(t(spark, d, "customer").select(text("c_custkey").alias("alias")), ["F", "O"], names)
+
+
+@query(", a AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_linestatus = 'F' AND l_quantity < 12), b AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_linestatus = 'O' AND l_quantity < 12), g AS (SELECT p_partkey AS key FROM part WHERE p_size < 20) SELECT key, CASE WHEN a.key IS NULL THEN 'added' WHEN b.key IS NULL THEN CASE WHEN g.key IS NULL THEN 'lost' ELSE 'removed' END WHEN g.key IS NOT NULL THEN 'still_present' ELSE 'kept' END AS outcome FROM a FULL JOIN b USING (key) LEFT JOIN g USING (key)".replace("SELECT key, CASE", "SELECT coalesce(a.key, b.key) AS key, CASE").replace("a FULL JOIN b USING (key) LEFT JOIN g USING (key)", "a FULL JOIN b ON a.key = b.key LEFT JOIN g ON g.key = coalesce(a.key, b.key)"))
+def store_mutation(spark, d):
+    keys = lambda s: t(spark, d, "lineitem").where((F.col("l_linestatus") == s) & (F.col("l_quantity") < 12)).select(F.col("l_partkey").alias("key"))
+    return parity.mutation(keys("F"), keys("O"), t(spark, d, "part").where("p_size < 20").select(F.col("p_partkey").alias("key")))
+
+
+@query(", x AS (SELECT year(o_orderdate)::INTEGER AS release, o_custkey AS alias, round(o_totalprice)::BIGINT AS length, o_orderkey AS digest FROM orders) SELECT alias, min(release) AS first, max(release) AS last, arg_max(digest, {'a': length, 'b': digest}) AS longest FROM x GROUP BY alias")
+def first_last_release(spark, d):
+    rows = t(spark, d, "orders").select(F.year("o_orderdate").alias("release"), F.col("o_custkey").alias("alias"), F.round("o_totalprice").cast("bigint").alias("length"), F.col("o_orderkey").alias("digest"))
+    return parity.first_last(rows)
+
+
+@query(", u AS (SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host FROM pages) SELECT page_id, host, CASE WHEN row_number() OVER (PARTITION BY host ORDER BY page_id) = 1 THEN 'discovered' ELSE 'skipped_duplicate_url' END AS status FROM u")
+def url_dedup_flag(spark, d):
+    host = F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))
+    return parity.flag_duplicates(t(spark, d, "pages").select("page_id", host.alias("host")), "host", "page_id")
+
+
+@query("SELECT p_brand AS family, min(p_type) AS only FROM part GROUP BY p_brand HAVING min(p_type) = max(p_type) UNION ALL SELECT 'nation ' || s_nationkey, min(s_suppkey::VARCHAR) FROM supplier GROUP BY s_nationkey HAVING min(s_suppkey::VARCHAR) = max(s_suppkey::VARCHAR)")
+def unpaired_kinds(spark, d):
+    part = t(spark, d, "part").select(F.col("p_brand").alias("family"), F.col("p_type").alias("kind"))
+    supplier = t(spark, d, "supplier").select(F.concat(F.lit("nation "), text("s_nationkey")).alias("family"), text("s_suppkey").alias("kind"))
+    return parity.unpaired(part.union(supplier), "family", "kind")
+
+
+@query(", x AS (SELECT p_type AS label, p_brand AS identity, min(p_name) AS anchor FROM part GROUP BY 1, 2), c AS (SELECT label, count(*) AS n FROM x GROUP BY 1) SELECT label, identity, CASE WHEN n > 1 THEN label || '_' || lower(regexp_replace(regexp_replace(anchor, '[^A-Za-z0-9]+', '_', 'g'), '^_|_$', '', 'g')) ELSE label END AS family FROM x JOIN c USING (label)")
+def family_labels(spark, d):
+    return parity.family_labels(t(spark, d, "part").select(F.col("p_type").alias("label"), F.col("p_brand").alias("identity"), F.col("p_name").alias("accession")))
+
+
+@query("SELECT o_orderkey AS path, o_orderpriority AS kind, o_orderstatus AS owner, 'old' AS version FROM orders WHERE year(o_orderdate) < 1998 AND o_orderpriority <> '1-URGENT' UNION ALL SELECT o_orderkey, o_orderpriority, o_orderstatus, 'new' FROM orders WHERE year(o_orderdate) >= 1995 AND o_orderpriority = '1-URGENT'")
+def scoped_merge(spark, d):
+    rows = lambda rule, v: t(spark, d, "orders").where(rule).select(F.col("o_orderkey").alias("path"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("owner"), F.lit(v).alias("version"))
+    every = t(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("owner"))
+    return sync.merge_lock(rows("year(o_orderdate) < 1998", "old"), rows("year(o_orderdate) >= 1995 and o_orderpriority = '1-URGENT'", "new"), every)
+
+
+@query(""", s AS (SELECT o_orderkey AS url, o_orderpriority AS kind, o_orderstatus AS owner, o_custkey % 3 AS checksum FROM orders WHERE o_orderkey % 5 > 0 AND o_orderpriority < '3'), k AS (SELECT o_orderkey AS url, o_orderpriority AS kind, o_orderstatus AS owner, o_custkey % 2 AS checksum FROM orders WHERE o_orderkey % 7 > 0),
+    c AS (SELECT k.* FROM k WHERE (kind, owner) IN (SELECT (kind, owner) FROM s)) SELECT coalesce(s.url, c.url) AS url, CASE WHEN c.url IS NULL THEN 'new' WHEN s.url IS NULL THEN 'only_in_lock' WHEN s.checksum IS DISTINCT FROM c.checksum THEN 'upstream_changed' ELSE 'same' END AS status FROM s FULL JOIN c ON s.url = c.url""")
+def sources_vs_lock(spark, d):
+    rows = lambda rule, m: t(spark, d, "orders").where(rule).select(F.col("o_orderkey").alias("url"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("owner"), (F.col("o_custkey") % m).alias("checksum"))
+    return sync.sources_vs_lock(rows("o_orderkey % 5 > 0 and o_orderpriority < '3'", 3), rows("o_orderkey % 7 > 0", 2))
+
+
+@query("SELECT count(*) AS collections, count(*) FILTER (n > 1) AS shared, max(n) AS widest FROM (SELECT md5(text) AS c, count(DISTINCT source) AS n FROM documents GROUP BY 1)")
+def multi_contributor_collections(spark, d):
+    return sync.contributors(t(spark, d, "documents").select(F.md5("text").alias("collection"), F.col("source").alias("path")))
+
+
+@query("SELECT digest, arg_min(doc_id, doc_id) AS source FROM (SELECT md5(text) AS digest, doc_id FROM documents) GROUP BY digest")
+def content_dedup_first_seen(spark, d):
+    rows = t(spark, d, "documents").select(F.md5("text").alias("digest"), F.col("doc_id").alias("source"))
+    return parity.earliest(rows, "source")
+
+
+@query("SELECT CASE WHEN strpos(url, 'ncbi') > 0 THEN 'ncbi' ELSE lower(split_part(split_part(url, '://', 2), '/', 1)) END AS provider, count(*) AS n FROM (SELECT split_part(url, '?', 1) AS url FROM pages) GROUP BY 1")
+def provider_from_host(spark, d):
+    url = F.split_part("url", F.lit("?"), F.lit(1))
+    return t(spark, d, "pages").groupBy(F.lower(manifest.provider(url)).alias("provider")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name GLOB 'p*1?'")
+def glob_match_sources(spark, d):
+    return t(spark, d, "part").where(fn.glob_match(F.col("p_name"), "p*1?")).select("p_partkey", "p_name")
+
+
+@query("SELECT p_partkey, p_name AS digest, s.alias AS alias FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'LRG_' || p_partkey || 'g' ELSE 'LRG_' || p_partkey || 't1' END AS name FROM part), unnest(CASE WHEN p_size % 2 = 0 THEN [name, 'LRG_' || p_partkey] ELSE [name] END) AS s(alias)")
+def alias_expansion(spark, d):
+    name = F.concat(F.lit("LRG_"), text("p_partkey"), F.when(F.col("p_size") % 2 == 0, "g").otherwise("t1"))
+    return t(spark, d, "part").select("p_partkey", F.col("p_name").alias("digest"), F.explode(fn.lrg_names(name)).alias("alias"))
+
+
+@query("SELECT event_id, CASE WHEN b >= 1048576 THEN printf('%.1f MiB', b / 1048576.0) WHEN b >= 1024 THEN printf('%.1f KiB', b / 1024.0) ELSE b || ' B' END AS size FROM (SELECT event_id, event_id * 997 AS b FROM events WHERE event_id < 1000000)")
+def human_sizes(spark, d):
+    return t(spark, d, "events").where("event_id < 1000000").select("event_id", fn.human_bytes(F.col("event_id") * 997).alias("size"))
 
 
 @query(""", e AS (SELECT *, 'left' AS side FROM l UNION ALL SELECT *, 'right' FROM r), g AS (SELECT digest, count(*) FILTER (side = 'left') AS nl, count(*) FILTER (side = 'right') AS nr,
@@ -145,7 +297,7 @@ def release_drift(spark, d):
 
 
 @query(""", g AS (SELECT alias, list(digest ORDER BY release) AS ds FROM rel GROUP BY alias), f AS (SELECT alias, ds, list_transform(range(1, len(ds) + 1), lambda i: len(list_distinct(ds[1:list_position(ds, ds[i])]))) AS nums FROM g)
-    SELECT alias, array_to_string(list_transform(nums, lambda n: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', n::INT, 1)), ' ') AS path FROM f""")
+    SELECT alias, array_to_string(list_transform(nums, lambda n: CASE WHEN n <= 26 THEN substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', n::INT, 1) ELSE n::VARCHAR END), ' ') AS path FROM f""")
 def digest_trajectory(spark, d):
     return parity.trajectory(releases(spark, d))
 
@@ -167,10 +319,10 @@ def reingest_closure(spark, d):
     return sync.closure(t(spark, d, "part").where("p_size = 1").select(text("p_partkey").alias("path")), sources_of(spark, d))
 
 
-@query(", g AS (SELECT DISTINCT s_suppkey::VARCHAR AS collection FROM supplier WHERE s_acctbal < 5000) SELECT DISTINCT path AS digest FROM src WHERE collection IN (SELECT collection FROM g) AND path NOT IN (SELECT path FROM src WHERE collection NOT IN (SELECT collection FROM g))")
+@query(", g AS (SELECT DISTINCT o_orderkey AS collection FROM orders WHERE o_orderdate < DATE '1998-01-01'), m AS (SELECT DISTINCT l_orderkey AS collection, l_partkey::VARCHAR || '/' || l_suppkey AS digest FROM lineitem) SELECT digest FROM m LEFT JOIN g USING (collection) GROUP BY digest HAVING bool_and(collection IN (SELECT collection FROM g))")
 def orphans_after_removal(spark, d):
-    members = sources_of(spark, d).withColumnRenamed("path", "digest")
-    removed = t(spark, d, "supplier").where("s_acctbal < 5000").select(text("s_suppkey").alias("collection"))
+    members = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("collection"), F.concat_ws("/", "l_partkey", "l_suppkey").alias("digest")).distinct()
+    removed = t(spark, d, "orders").where("o_orderdate < date '1998-01-01'").select(F.col("o_orderkey").alias("collection"))
     return sync.orphans_after(members.select("digest").distinct(), members, removed)
 
 

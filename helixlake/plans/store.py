@@ -1,15 +1,20 @@
 """The content-addressed store: Parquet tables in immutable snapshots, and a pointer that moves when one is complete.
 
-A snapshot is a folder of tables; a commit writes a new one and then replaces the pointer file, so readers see the old
-store or the new one, a failed commit leaves nothing visible, and the last snapshot can be restored. Everything goes
-through Spark's file systems.
+A snapshot is a numbered pointer that names a folder for each table. A commit writes only the tables that change, links the
+others from the snapshot before, and then creates the next pointer, which must not exist yet: readers see the old store or
+the new one, a failed commit leaves nothing visible, of two writers one fails, and any snapshot can be read again. A store
+with tables but no pointer is an error, not an empty store. Everything goes through Spark's file systems.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import json
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,38 +44,57 @@ class Store:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def snapshot(self) -> str | None:
-        fs, path = self._fs("CURRENT")
-        if not fs.exists(path):
-            return None
-        return self.spark.read.text(path.toString()).first()[0]
+    def versions(self) -> list[int]:
+        """Numbers of the snapshots, oldest first."""
+        fs, path = self._fs("pointers")
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        found = sorted(int(n) for n in names if n.isdigit())
+        tables, root = self._fs("tables")
+        if not found and tables.exists(root) and len(tables.listStatus(root)) and not self._started:
+            raise OSError(f"{self.path} has tables but no pointer: restore one, or remove what a first commit left behind")
+        return found
 
-    def _point(self, snapshot: str) -> None:
-        fs, new = self._fs("CURRENT.new")
-        out = fs.create(new, True)
-        out.write(bytearray(snapshot.encode()))
+    _started = False
+
+    def folders(self) -> dict[str, str]:
+        """Folder of each table of the last snapshot."""
+        found = self.versions()
+        if not found:
+            return {}
+        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.path}/pointers/{found[-1]}").collect()))
+
+    def _point(self, number: int, folders: dict[str, str]) -> None:
+        """The pointer appears whole, by a rename, and never replaces another one."""
+        fs, new = self._fs(f"pointers/.{uuid.uuid4().hex}")
+        out = fs.create(new, False)
+        out.write(bytearray(json.dumps(folders).encode()))
         out.close()
-        _, path = self._fs("CURRENT")
-        fs.delete(path, False)
-        if not fs.rename(new, path):
-            raise OSError("the pointer could not be moved")
+        _, path = self._fs(f"pointers/{number}")
+        if fs.exists(path) or not fs.rename(new, path):
+            fs.delete(new, False)
+            raise OSError(f"another writer made snapshot {number}")
 
     def table(self, name: str) -> DataFrame:
-        if not (now := self.snapshot()):
+        folder = self.folders().get(name)
+        if folder is None:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{now}/{name}")
-
-    def commit(self, **tables: DataFrame) -> str:
-        """A new snapshot in which ``tables`` are replaced. Aliases are laid out by namespace."""
-        new = f"v-{uuid.uuid4().hex}"
-        for name, schema in TABLES.items():
-            columns = [c.split()[0] for c in schema.split(", ")]
-            df = tables.get(name, self.table(name)).select(columns)
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.path}/{f}" for f in folder.split(",")))
+
+    def commit(self, add: dict[str, DataFrame] | None = None, **tables: DataFrame) -> int:
+        """A new snapshot in which ``tables`` are replaced and the rows of ``add`` join their tables, whose files stay
+        as they are. Aliases are laid out by namespace."""
+        found = self.versions()
+        folders, number = self.folders(), (found[-1] if found else 0) + 1
+        self._started = True
+        for name, df in [*tables.items(), *(add or {}).items()]:
+            df = df.select([c.split()[0] for c in TABLES[name].split(", ")])
             if name.endswith("aliases"):
                 df = df.repartitionByRange("namespace", "alias").sortWithinPartitions("namespace", "alias")
-            df.write.parquet(f"{self.path}/{new}/{name}")
-        self._point(new)
-        return new
+            folder = f"tables/{name}-{number}-{uuid.uuid4().hex}"
+            df.write.parquet(f"{self.path}/{folder}")
+            folders[name] = folder if name in tables or name not in folders else f"{folders[name]},{folder}"
+        self._point(number, folders)
+        return number
 
     # ingest and removal
 
@@ -85,13 +109,13 @@ class Store:
         fresh = heads.where("was_new").groupBy("collection").agg(F.min("file").alias("file"))
         new = seqs.join(fresh, "file")
         ordinal = F.row_number().over(Window.partitionBy("collection").orderBy("at")) - 1
-        members = self.table("members").unionByName(new.select("collection", ordinal.cast("long").alias("ordinal"), "name", "digest"))
+        members = new.select("collection", ordinal.cast("long").alias("ordinal"), "name", "digest")
         unseen = new.join(self.table("sequences").select("digest"), "digest", "left_anti").groupBy("digest").agg(F.min(F.struct("name", "residues")).alias("s"))
         meta = unseen.select("digest", "s.name", F.length("s.residues").cast("long").alias("length"), alphabet_of(F.col("s.residues")).alias("alphabet"), F.md5("s.residues").alias("md5"))
         steps = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("s.residues") / CHUNK).cast("int") - 1))).alias("no")
         chunks = unseen.select("digest", "s.residues", steps).select("digest", F.col("no").cast("long").alias("chunk_no"), F.substring("residues", F.col("no") * CHUNK + 1, F.lit(CHUNK)).alias("residues"))
-        provenance = self.table("provenance").unionByName(heads.select("collection", F.col("file").alias("path"))).distinct()
-        self.commit(members=members, sequences=self.table("sequences").unionByName(meta), chunks=self.table("chunks").unionByName(chunks), provenance=provenance)
+        provenance = heads.select("collection", F.col("file").alias("path")).distinct().join(self.table("provenance"), ["collection", "path"], "left_anti")
+        self.commit(add={"members": members, "sequences": meta, "chunks": chunks, "provenance": provenance})
         return heads
 
     def remove(self, collections: DataFrame) -> None:
@@ -115,7 +139,7 @@ class Store:
         counts = {r.outcome: r["count"] for r in load.groupBy("outcome").count().collect()}
         if counts.get("conflict"):
             raise ValueError(f"{counts['conflict']} names mean another digest already")
-        self.commit(aliases=self.table("aliases").unionByName(load.where("outcome = 'new'").drop("outcome")))
+        self.commit(add={"aliases": load.where("outcome = 'new'").drop("outcome")})
         return {"added": counts.get("new", 0), "skipped": counts.get("same", 0)}
 
     def replace_namespace(self, namespace: str, desired: DataFrame) -> dict[str, int]:
@@ -163,9 +187,8 @@ class Store:
         locked = self.spark.createDataFrame([(c["digest"], c["n_sequences"]) for c in then["collections"]], "collection string, n long")
         out = verify_ops.union(level0, verify_ops.membership(locked, self.census()), verify_ops.coherence(self.table("sequences"), self.table("chunks"), self.table("members")))
         if deep:
-            whole = self.table("chunks").groupBy("digest").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "residues"))), lambda c: c["residues"])).alias("r"))
             known = self.spark.createDataFrame([], "digest string, cause string") if baseline is None else baseline
-            out = out.unionByName(verify_ops.redigest(whole.select("digest", sha512t24u(F.col("r")).alias("redigest")), known))
+            out = out.unionByName(verify_ops.redigest(redigests(self.table("chunks")), known))
         return out
 
     def lock(self, inputs: list[dict] | None = None) -> dict:
@@ -176,6 +199,31 @@ class Store:
         return {"schema": 1, "inputs": {"files": inputs or []}, "outputs": {**self.outputs(), "collections": listed}}
 
 
+def redigests(chunks: DataFrame) -> DataFrame:
+    """(digest, redigest) of every sequence: its chunks pass by in order, one in memory at a time. Sequences of one chunk
+    need no order and stay in the JVM."""
+    longer = chunks.where("chunk_no > 0").select("digest").distinct()
+    short = chunks.join(longer, "digest", "left_anti").select("digest", sha512t24u(F.col("residues")).alias("redigest"))
+
+    def fold(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, hashlib.sha512()
+        address = lambda: base64.urlsafe_b64encode(total.digest()[:24]).decode()
+        for batch in rows:
+            done = []
+            for digest, residues in zip(batch.column("digest").to_pylist(), batch.column("residues").to_pylist()):
+                if digest != now:
+                    if now is not None:
+                        done.append((now, address()))
+                    now, total = digest, hashlib.sha512()
+                total.update(residues.encode())
+            yield pa.RecordBatch.from_pydict({"digest": pa.array([d[0] for d in done], pa.string()), "redigest": pa.array([d[1] for d in done], pa.string())})
+        if now is not None:
+            yield pa.RecordBatch.from_pydict({"digest": [now], "redigest": [address()]})
+
+    ordered = chunks.join(longer, "digest", "left_semi").repartition("digest").sortWithinPartitions("digest", "chunk_no")
+    return short.unionByName(ordered.select("digest", "residues").mapInArrow(fold, "digest string, redigest string"))
+
+
 def validate_lock(lock: dict) -> None:
     """Raise ValueError at the first broken invariant; other schema versions are rejected, never coerced."""
     if lock.get("schema") != 1:
@@ -184,11 +232,43 @@ def validate_lock(lock: dict) -> None:
     digests = [c["digest"] for c in out["collections"]]
     if len(digests) != len(set(digests)) or len(digests) != out["n_collections"]:
         raise ValueError("collections do not match their count")
+    files = lock["inputs"]["files"]
+    for key in ("cache_path", "url"):
+        own = [f[key] for f in files if key in f]
+        if len(own) != len(set(own)):
+            raise ValueError(f"two files share a {key}")
+    for f in files:
+        if "ingest_spec_sha256" in f and f["ingest_spec_sha256"] != spec_sha256(f.get("ingest_spec")):
+            raise ValueError(f"the ingest spec of {f['cache_path']} is not the one that its digest names")
+    fed = [p for c in out["collections"] for p in c["from"]]
+    if len(fed) != len(set(fed)):
+        raise ValueError("a file feeds two collections")
+    root = out.get("collections_root")
+    if root is not None and root != "sha256:" + hashlib.sha256("".join(f"{d}\n" for d in sorted(digests)).encode()).hexdigest():
+        raise ValueError("collections do not match their root")
     known = {f["cache_path"] for f in lock["inputs"]["files"]}
     if known and any(set(c["from"]) - known for c in out["collections"]):
         raise ValueError("a collection comes from an unknown file")
 
 
 def canonical(document: dict) -> str:
-    """Canonical JSON: sorted keys, no spaces."""
-    return json.dumps(document, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Canonical JSON: sorted keys, no spaces, other than ASCII escaped."""
+    return json.dumps(document, sort_keys=True, separators=(",", ":"))
+
+
+def spec_sha256(spec: dict | None) -> str:
+    """Digest of an ingest spec, of null too."""
+    return hashlib.sha256(canonical(spec).encode()).hexdigest()
+
+
+def write_lock(lock: dict, path: str) -> None:
+    validate_lock(lock)
+    with open(path, "w") as out:
+        out.write(json.dumps(lock, indent=2, sort_keys=True) + "\n")
+
+
+def read_lock(path: str) -> dict:
+    with open(path) as raw:
+        lock = json.load(raw)
+    validate_lock(lock)
+    return lock

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixlake.functions.scalars import na_to_null
+from helixlake.functions.scalars import gzip_ok, na_to_null, relative_path
 
 RECORDS = "file string, ordinal long, name string, residues string"
 
@@ -31,8 +31,8 @@ def fasta_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def genbank(spark: SparkSession, path: str) -> DataFrame:
-    """(file, name, residues) of flat-file records that have both a VERSION and an ORIGIN."""
-    raw = spark.read.option("lineSep", "//\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    """(file, name, residues) of flat-file records that have both a VERSION and an ORIGIN. A line ``//`` ends a record."""
+    raw = spark.read.option("lineSep", "\n//").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
     name = F.regexp_extract("value", r"(?m)^VERSION\s+(\S+)", 1)
     body = F.regexp_extract("value", r"(?ms)^ORIGIN[^\n]*\n(.*)\z", 1)
     out = raw.select("file", name.alias("name"), F.regexp_replace(body, r"(?s)[^A-Za-z]+", "").alias("residues"))
@@ -45,13 +45,16 @@ def lrg_zip(spark: SparkSession, path: str) -> DataFrame:
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for file, content in zip(frame["path"], frame["content"]):
-                bundle, rows = zipfile.ZipFile(io.BytesIO(content)), []
-                members = sorted(bundle.namelist(), key=lambda m: [int(x) if x.isdigit() else x.casefold() for x in re.split(r"(\d+)", m)])
+                bundle, rows, loci = zipfile.ZipFile(io.BytesIO(content)), [], set()
+                members = sorted((m for m in bundle.namelist() if not m.endswith("/")), key=lambda m: [int(x) if x.isdigit() else x.casefold() for x in re.split(r"(\d+)", m.rpartition("/")[2])])
                 if not members:
                     raise ValueError(f"{file}: the bundle is empty")
                 for m in members:
-                    if not (got := re.fullmatch(r"(LRG_\d+)\.fasta", m)):
+                    if not (got := re.fullmatch(r"(?:.*/)?(LRG_\d+)\.fasta", m)):
                         raise ValueError(f"{file}: unexpected member {m}")
+                    if got[1] in loci:
+                        raise ValueError(f"{file}: {got[1]} is there twice")
+                    loci.add(got[1])
                     records = [r for r in re.split(r"(?m)^>", bundle.read(m).decode()) if r.strip()]
                     if len(records) < 2 or records[0].split(None, 1)[0] != got[1] + "g":
                         raise ValueError(f"{file}: {m} does not begin with a genomic record and go on with others")
@@ -132,3 +135,47 @@ def build_log(spark: SparkSession, path: str) -> DataFrame:
 
     part = lambda i: F.regexp_extract("value", r"^Added (\S+) \((\d+) seqs\) from (.*) in ", i)
     return spark.read.text(path).where(part(1) != "").select(part(1).alias("collection"), part(2).cast("long").alias("n_sequences"), strip_derived_suffix(part(3)).alias("file"))
+
+
+def subset(records: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Records of the names in ``wanted`` (name)."""
+    return records.join(wanted.select("name").distinct(), "name", "left_semi")
+
+
+def newest_reports(rows: DataFrame) -> DataFrame:
+    """Rows (patch, name, ...) of several reports of one assembly: of each name, the statement of the newest patch."""
+    rest = [c for c in rows.columns if c not in ("name", "patch")]
+    return rows.groupBy("name").agg(F.max_by(F.struct("patch", *rest), "patch").alias("x")).select("name", "x.*")
+
+
+def placements(spark: SparkSession, path: str) -> DataFrame:
+    """Placement files (TSV with a ``#`` header): of each ``alt_scaf_acc``, the row of the last file by name."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    header = [r.value.lstrip("#").split("\t") for r in lines.where("value like '#%'").limit(1).collect()]
+    if not header:
+        raise ValueError(f"{path}: no line names the columns")
+    parts = lines.where("value not like '#%' and trim(value) <> ''").select("file", F.split("value", "\t").alias("p")).where(F.size("p") == len(header[0]))
+    rows = parts.select("file", *(na_to_null(F.col("p")[i]).alias(c) for i, c in enumerate(header[0])))
+    return rows.groupBy("alt_scaf_acc").agg(F.max_by(F.struct(*header[0]), "file").alias("x")).select("x.*")
+
+
+def optional_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """:func:`tsv_table`, or an empty table of ``schema`` where there is no file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return tsv_table(spark, path)
+
+
+def file_records(spark: SparkSession, path: str) -> DataFrame:
+    """(cache_path, bytes, sha256, md5, gzip_ok) of the files under ``path``; gzip_ok is null for other files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    checked = F.when(F.col("path").endswith(".gz"), gzip_ok("content"))
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    return files.select(relative_path(F.col("path"), root).alias("cache_path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), checked.alias("gzip_ok"))
+
+
+def write_tsv(df: DataFrame, path: str) -> None:
+    """A TSV folder with a header; null is the empty value."""
+    df.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="", emptyValue="")
