@@ -1,11 +1,11 @@
 """URL filters: longest-match rules, then gradient-boosted trees on lexical features.
 
-Trees are histogram-based, fitted in numpy on at most ``SAMPLE`` labelled URLs (those with the least hash), and scored
-in Arrow batches. Suffix statistics are smoothed label means of the host's last two labels, and of its last one.
+Trees are histogram-based, fitted in numpy on about ``SAMPLE`` labelled URLs at most (by a hash), and scored in Arrow
+batches. The verdict is ``block`` from a probability of one half. Suffix statistics are smoothed label means of the host's last two labels, and of its last one.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and meets no rule; the model judges it too;
-without labelled URLs, or with labels of one kind only, the model's verdict is ``allow`` or that kind; repeated rows
-are judged alike; an empty table gives no rows; extra columns are ignored.
+without labelled URLs, or with labels of one kind only, the model's verdict is ``allow`` or that kind; a
+URL with both labels counts as their mean; repeated rows are judged alike; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,8 +153,13 @@ class Trees:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[Features, Trees]:
-    """From (url, block: 0 or 1), at most ``sample`` rows of it."""
-    rows = labelled.where("url is not null and block is not null").orderBy(F.xxhash64("url"), "url", "block").limit(sample).collect()
+    """From (url, block: 0 or 1). Rows of one URL are one, labelled with their mean; where there are more than ``sample``
+    URLs, those with a hash below the bar that leaves about ``sample`` go to the driver."""
+    own = labelled.where("url is not null and block is not null").groupBy("url").agg(F.avg("block").alias("block"))
+    n = own.count()
+    if n > sample:
+        own = own.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
+    rows = sorted(own.collect())
     urls, y = [r.url for r in rows], np.array([r.block for r in rows], float)
     features = Features(urls, y)
     return features, Trees().fit(features.of(urls), y)
