@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from helixlake.llm import decontamination, neardup, packing, quality, substrings
-from helixlake.llm.common import save, table
+from helixlake.llm.common import drop, save, table
 from helixlake.llm.queries import tokenizer
 
 
@@ -51,5 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop(before)  # the table of the stage before; the input is not one
     return docs
