@@ -35,8 +35,8 @@ from .components import components
 
 #: Members of a bucket that meet as one block; pairs a member up to which all are compared at once.
 PART, FEW = 256, 4
-#: 64-bit columns of a text's word bits.
-BITS = 8
+#: 64-bit columns of a text's word bits, and 64-bit items of those that tell apart what these let pass.
+BITS, FINE = 8, 128
 K = 5
 
 
@@ -44,16 +44,21 @@ def multipliers(sketches: int) -> np.ndarray:
     return mix(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+def labelled(items: np.ndarray) -> np.ndarray:
+    """Hashes of ``items`` with their occurrence numbers."""
+    order = np.argsort(items, kind="stable")
+    s = items[order]
+    first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+    count = np.empty(len(items), np.uint64)
+    count[order] = np.arange(len(items)) - np.repeat(first, np.diff(np.r_[first, len(s)]))
+    return mix(items + count * np.uint64(0xD6E8FEB86659FD93))
+
+
 def sketch(h: np.ndarray, by: np.ndarray, length: int = 2, block: int = 4096) -> np.ndarray:
     """One hash per multiplier: of the ``length`` least occurrence-labelled k-mers, in text order."""
     km = grams(h, K) if len(h) >= K else mix(h.sum(keepdims=True) * np.uint64(7) + np.uint64(len(h)))
     if len(np.unique(km)) < len(km):
-        order = np.argsort(km, kind="stable")
-        s = km[order]
-        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        count = np.empty(len(km), np.uint64)
-        count[order] = np.arange(len(km)) - np.repeat(first, np.diff(np.r_[first, len(s)]))
-        km = mix(km + count * np.uint64(0xD6E8FEB86659FD93))
+        km = labelled(km)
     length, rows = min(length, len(km)), np.arange(len(by))
     best, at = np.empty((len(by), 0), np.uint64), np.empty((len(by), 0), np.int64)
     for lo in range(0, len(km), block):
@@ -72,10 +77,10 @@ def sketch(h: np.ndarray, by: np.ndarray, length: int = 2, block: int = 4096) ->
     return out
 
 
-def word_bits(h: np.ndarray) -> np.ndarray:
-    """A bit for each word, of 64 * BITS. A bit that only one of two texts has stands for a word the other one lacks."""
-    on = np.zeros(64 * BITS, np.uint8)
-    on[(mix(h) % np.uint64(64 * BITS)).astype(np.int64)] = 1
+def word_bits(h: np.ndarray, size: int = BITS) -> np.ndarray:
+    """A bit for each word, of 64 * size. A bit that only one of two texts has stands for a word the other one lacks."""
+    on = np.zeros(64 * size, np.uint8)
+    on[(mix(h) % np.uint64(64 * size)).astype(np.int64)] = 1
     return np.packbits(on).view(np.int64)
 
 
@@ -151,19 +156,46 @@ def _lacking(x: str, y: str) -> Column:
     return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{x}.b{i}").bitwiseAND(F.bitwise_not(f"{y}.b{i}"))) for i in range(BITS)])
 
 
-def _all_across(members: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
-    """All pairs in a divided bucket that lie in different components and whose word bits rule no link out. A bucket is dealt into parts of about ``PART``
-    members, and each two parts meet on their own, so that a large bucket is not one task."""
+def _fine_lacking(x: str, y: str) -> Column:
+    """The same of the fine bits, where a repeated word has a bit for each occurrence."""
+    return F.aggregate(F.zip_with(f"{x}.fine", f"{y}.fine", lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b)))), F.lit(0), lambda a, b: a + b)
+
+
+def _fine_bits(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and fine bits of the ``members``."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            hashes, lens = word_hashes(batch.column("text").to_pylist())
+            fine = [word_bits(labelled(h) if len(h) else h, FINE) for h in np.split(hashes, np.cumsum(lens)[:-1])]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(fine, pa.list_(pa.int64()))], ["node", "fine"])
+
+    return save(members.select("node").distinct().join(texts, "node").mapInArrow(run, "node long, fine array<long>"), "fine-bits")
+
+
+def _all_across(members: DataFrame, reps: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs in a divided bucket that lie in different components and whose word bits, coarse then fine, rule no
+    link out; a pair that several buckets hold comes from the one of least key. A bucket is dealt into parts of about
+    ``PART`` members, and each two parts meet on their own, so that a large bucket is not one task."""
     parts = F.ceil(F.col("c") / PART).cast("int")
-    own = members.join(bits.select("node", *(F.col("bits")[i].alias(f"b{i}") for i in range(BITS))), "node").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
-    member = F.struct("node", "root", "n_words", *(f"b{i}" for i in range(BITS)))
+    bits = [f"b{i}" for i in range(BITS)]
+    coarse = reps.select("node", *(F.col("bits")[i].alias(b) for i, b in enumerate(bits)))
+    fine = _fine_bits(members, texts)
+    # A node has a key a sketch at most.
+    keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    own = members.join(keys, "node").join(coarse, "node").join(fine, "node").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
+    member = F.struct("node", "root", "n_words", "keys", "fine", *bits)
     one = own.select("key", F.col("part").alias("lo"), F.explode(F.expr("sequence(part, parts - 1)")).alias("hi"), member.alias("x"))
     two = own.select("key", F.explode(F.expr("sequence(0, part)")).alias("lo"), F.col("part").alias("hi"), member.alias("y"))
     once = (F.col("lo") < F.col("hi")) | (F.col("x.node") < F.col("y.node"))
     limit = F.floor(F.greatest("x.n_words", "y.n_words") * F.lit(1 - similarity) + F.lit(1e-9))
     near = (_lacking("x", "y") <= limit) & (_lacking("y", "x") <= limit)
-    met = one.join(two, ["key", "lo", "hi"]).where(once & _may_link("x", "y", similarity) & near)
-    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    here = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("key")
+    nearer = (_fine_lacking("x", "y") <= limit) & (_fine_lacking("y", "x") <= limit)
+    met = one.join(two, ["key", "lo", "hi"]).where(once & _may_link("x", "y", similarity) & near & here & nearer)
+    out = save(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")), "pairs-across")
+    drop(fine)
+    return out
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -216,10 +248,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60
         if not n:
             break
         whole = still <= FEW * n or (before is not None and still > 0.7 * before)
-        more = _all_across(divided, reps, similarity) if whole else _across(divided, turn, similarity)
-        more = save(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs-more")
-        tested = tested.union(save(_verified(more, texts, similarity), "aligned-more"))
-        drop(divided, more)
+        more = _all_across(divided, reps, texts, similarity) if whole else _across(divided, turn, similarity)
+        fresh = save(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs-more")
+        tested = tested.union(save(_verified(fresh, texts, similarity), "aligned-more"))
+        drop(divided, more, fresh)
         turn, before = turn + 1, still
     # Of a class, the least doc_id names it, and the first row with it stays.
     rooted = reps.select("node", "at").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
