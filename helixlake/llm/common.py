@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,17 +104,28 @@ class Memory:
         if len(self.young) > self.most // 2:
             self.old, self.young = self.young, {}
 
-    def missing(self, keys: set) -> list:
+    def missing(self, keys: list) -> list:
         """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
         young, old, out = self.young, self.old, []
-        for k in keys.difference(young):
-            if (v := old.get(k)) is None:
-                out.append(k)
-            else:
-                young[k] = v
+        for k in keys:
+            if k not in young:
+                if (v := old.get(k)) is None:
+                    out.append(k)
+                else:
+                    young[k] = v
         return out
 
 
+def coded(raw: np.ndarray, cuts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The different ones of the pieces of ``raw`` (bytes) between ``cuts``, and the number of each piece among them."""
+    cuts = np.ascontiguousarray(cuts, np.int64)
+    x = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+    offsets, data = x.dictionary.buffers()[1:]
+    edges = np.frombuffer(offsets, np.int64)[: len(x.dictionary) + 1].tolist()
+    known = data.to_pybytes() if data else b""
+    return [known[i:j] for i, j in zip(edges, edges[1:])], x.indices.to_numpy()
+
+
 class WordHashes(Memory):
     """64-bit hashes of what ``form`` makes of words (bytes); it is asked once for a word that is remembered."""
 
@@ -123,7 +135,7 @@ class WordHashes(Memory):
 
     def of(self, words: list[bytes]) -> np.ndarray:
         self.take_up()
-        self.young.update((w, xxhash.xxh3_64_intdigest(self.form(w))) for w in self.missing(set(words)))
+        self.young.update((w, xxhash.xxh3_64_intdigest(self.form(w))) for w in self.missing(list(set(words))))
         return np.fromiter(map(self.young.__getitem__, words), np.uint64, len(words))
 
 

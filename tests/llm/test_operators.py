@@ -381,6 +381,17 @@ def test_encoder_pieces():
     assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids.tolist() for t, ids in zip(texts, enc.encode(texts)))
 
 
+def test_encoder_meets_each_different_piece_once(monkeypatch):
+    from helixlake.llm import tokens
+
+    enc, asked = tokens.Encoder(PATH), []
+    monkeypatch.setattr(enc.seen, "missing", lambda keys: asked.append(list(keys)) or type(enc.seen).missing(enc.seen, keys))
+    texts = ["the cat " * 500 + "the", "a\xa0b the", "a\xa0 b", "", "x" * 200 + " the\ncat\nthe\u3000", "\u2003"]
+    assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids.tolist() for t, ids in zip(texts, enc.encode(texts)))
+    assert sorted(asked[0]) == [b" cat", b" the", "a\xa0b".encode(), b"the"]  # numbers, not words, go through Python
+    assert enc.encode(texts[:1])[0].tolist() == enc.tok.encode(texts[0], add_special_tokens=False).ids
+
+
 def test_sql_of_quality_and_sharding(spark):
     from helixlake.llm import queries
 
