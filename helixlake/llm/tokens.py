@@ -1,8 +1,9 @@
 """Token ids by the tokenizers library, with remembered pieces.
 
 Byte-level BPE never merges across its pre-tokenizer's cuts. A cut always lies before a space, and around a line
-break, that has no white space beside it. Texts without doubled white space are therefore encoded piece by piece
-and each different piece only once; all others are encoded whole. Either way every id comes from the library.
+break, that has no white space beside it, and between an ASCII letter and a mark, as no pattern has a letter and then a
+mark. Texts without doubled white space are therefore encoded piece by piece and each different piece only once; all
+others are encoded whole. Either way every id comes from the library.
 The pieces of a batch are numbered by a dictionary of their bytes, so that Python meets each different one once.
 """
 
@@ -19,6 +20,8 @@ END = 2
 WIDE = "".join(c for c in map(chr, range(128, 1 << 16)) if c.isspace())
 BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r\x1c\x1d\x1e\x1f"))
 CUT = np.isin(np.arange(256), list(b" \n"))
+LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+MARK = np.isin(np.arange(256), list(b".,;:!?)"))
 
 
 def single_spaced(text: str) -> bool:
@@ -76,6 +79,7 @@ class Encoder:
     def _by_pieces(self, raw: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
         """Ids of single-spaced texts that lie end to end."""
         begin = CUT[raw]
+        begin[1:] |= MARK[raw[1:]] & LETTER[raw[:-1]]
         begin[edges[:-1]] = True
         cuts = np.r_[np.flatnonzero(begin), len(raw)]
         pieces, codes = coded(raw, cuts)

@@ -392,6 +392,15 @@ def test_encoder_meets_each_different_piece_once(monkeypatch):
     assert enc.encode(texts[:1])[0].tolist() == enc.tok.encode(texts[0], add_special_tokens=False).ids
 
 
+def test_encoder_cuts_before_marks():
+    from helixlake.llm.tokens import Encoder
+
+    enc = Encoder(PATH)
+    texts = ["Ab. ab, ab; ab: ab! ab? ab) 'ab.'", "it's. we'll, I'd!x a.b.c/d?e=f x...y ?!) é. é, 3.5 a3. _a.", "a.\nb,\nc"]
+    assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids.tolist() for t, ids in zip(texts, enc.encode(texts)))
+    assert b" ab" in enc.seen.young and not any(p in enc.seen.young for p in (b" ab,", b" ab;", b" ab:", b" ab!", b" ab?", b" ab)"))
+
+
 def test_sql_of_quality_and_sharding(spark):
     from helixlake.llm import queries
 
