@@ -18,6 +18,19 @@ def bag_bound(a: np.ndarray, b: np.ndarray) -> int:
     return int(max(net[net > 0].sum(), -net[net < 0].sum()))
 
 
+def bag_bounds(a: np.ndarray, b: np.ndarray, pad: np.uint64) -> np.ndarray:
+    """:func:`bag_bound` of each row of ``a`` and the row of ``b`` beside it; ``pad`` is no word."""
+    both = np.concatenate([a, b], axis=1)
+    order = np.argsort(both, axis=1)
+    s = np.take_along_axis(both, order, 1)
+    sign = np.where(s == pad, 0, np.where(order < a.shape[1], 1, -1))
+    new = np.ones(s.shape, bool)
+    new[:, 1:] = s[:, 1:] != s[:, :-1]
+    first = np.flatnonzero(new)
+    net, row = np.add.reduceat(sign.ravel(), first), first // s.shape[1]
+    return np.maximum(*(np.bincount(row, np.maximum(x, 0), len(a)) for x in (net, -net))).astype(np.int64)
+
+
 def _slider(a: np.ndarray, b: np.ndarray):
     """slide(i, k): the first place from ``i`` on where a[place] and b[place + k] differ, or the diagonal's end."""
     n, m, places = len(a), len(b), {}

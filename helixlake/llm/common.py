@@ -133,10 +133,17 @@ class WordHashes(Memory):
         super().__init__(most)
         self.form = form
 
-    def of(self, words: list[bytes]) -> np.ndarray:
+    def of(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words of some texts, end to end, and the number of words of each text."""
         self.take_up()
-        self.young.update((w, xxhash.xxh3_64_intdigest(self.form(w))) for w in self.missing(list(set(words))))
-        return np.fromiter(map(self.young.__getitem__, words), np.uint64, len(words))
+        raw = np.frombuffer(b" ".join([b"", *(t or b"" for t in texts), b""]), np.uint8)
+        blank = IS_SPACE[raw]
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        start, end = edges[::2], edges[1::2]
+        lens = np.diff(np.searchsorted(start, np.cumsum([1, *(len(t) + 1 if t else 1 for t in texts)])))
+        words, codes = coded(raw[~blank], np.cumsum(np.r_[0, end - start]))
+        self.young.update((w, xxhash.xxh3_64_intdigest(self.form(w))) for w in self.missing(words))
+        return np.fromiter(map(self.young.__getitem__, words), np.uint64, len(words))[codes], lens
 
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .alignment import edit_distance
+from .alignment import bag_bounds, edit_distance
 from .common import WordHashes, batches, binary_text, grams, mix
 
 PAD = np.uint64(0x5BD1E995C0FFEE11)
@@ -40,7 +40,12 @@ WINDOW = "item_id long, start int, n_words int, distance int"
 
 def form(word: bytes) -> bytes:
     text = word.decode("utf-8", "replace").lower()
-    return (text.strip("".join({c for c in text if not c.isalnum()})) or text).encode()
+    lo, hi = 0, len(text)
+    while lo < hi and not text[lo].isalnum():
+        lo += 1
+    while lo < hi and not text[hi - 1].isalnum():
+        hi -= 1
+    return (text[lo:hi] or text).encode()
 
 
 _words = WordHashes(form)
@@ -100,7 +105,8 @@ class Items:
     """One block of items and its lookup tables."""
 
     def __init__(self, rows: list[tuple[int, bytes]], similarity: float, recall: float):
-        kept = [(i, w) for i, t in rows if len(w := _words.of((t or b"").split()))]
+        hashes, lens = _words.of([t for _, t in rows])
+        kept = [(i, w) for (i, _), w in zip(rows, np.split(hashes, np.cumsum(lens)[:-1])) if len(w)]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
         self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.limits = (self.lengths * (1 - similarity) + 1e-9).astype(np.int64)
@@ -121,7 +127,7 @@ class Items:
         for i, w in enumerate(self.words):
             table[i, : len(w)] = w
         self.walks = walks_for(sorted(self.lengths.tolist()), similarity, recall)
-        self.width = width
+        self.width, self.table = width, table
         self.index = []
         for w in range(self.walks):
             own = self.labelled(keys(cgk(table, w), self.lengths, w), self.lengths).ravel()
@@ -142,6 +148,12 @@ class Items:
         at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(np.arange(len(k)) // TABLES, n) * len(self.ids) + items[at]
 
+    def bag_bounds(self, windows: np.ndarray, row: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Edits that the words alone prove, of each pair of a window and an item."""
+        step = max(1, (1 << 20) // self.width)
+        parts = [bag_bounds(windows[row[lo : lo + step]], self.table[item[lo : lo + step]], PAD) for lo in range(0, len(row), step)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
     def starts(self, h: np.ndarray, doc: np.ndarray, start: np.ndarray, lens: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, first, last) ranges of window starts that the q-gram lemma leaves."""
         out = []
@@ -178,14 +190,9 @@ class Items:
 
     def matches(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item number, start, words, distance): the best window of each pair that matches."""
-        words, lens = [], np.empty(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            own = t.split() if t else []
-            lens[i] = len(own)
-            words += own
-        if not words or not self.ids:
+        if not self.ids:
             return []
-        h = _words.of(words)
+        h, lens = _words.of(texts)
         start = np.cumsum(lens) - lens
         ranges = self.starts(h, np.repeat(np.arange(len(lens)), lens), start, lens)
         # A window of each length some item of which may match there; which items do is found by the index.
@@ -198,8 +205,9 @@ class Items:
             place = np.minimum((start[d] + s)[:, None] + cols, len(h) - 1)
             windows = np.where(cols < n[:, None], h[place], PAD)
             pairs = [self.met(w, keys(cgk(windows[:, : int(length.max())], w), length, w), length) for w in range(self.walks)]
-            for pair in np.unique(np.concatenate(pairs)).tolist():
-                r, i = divmod(pair, len(self.ids))
+            row, item = np.divmod(np.unique(np.concatenate(pairs)), len(self.ids))
+            near = self.bag_bounds(windows, row, item) <= self.limits[item]
+            for r, i in zip(row[near].tolist(), item[near].tolist()):
                 x = edit_distance(windows[r, : n[r]], self.words[i], int(self.limits[i]))
                 if x is not None:
                     key, found = (int(d[r]), i), (x, int(s[r]), int(n[r]))

@@ -371,6 +371,40 @@ def test_token_ids_empty(no_docs):
     assert dac.documents(files).count() == 0
 
 
+def test_word_hashes_of_texts():
+    from helixlake.llm.common import WordHashes
+
+    asked = []
+    words = WordHashes(lambda w: asked.append(w) or w.lower())
+    texts = ["Ein  Text\x0b ein\u2003Ä", None, "", " \n", "text\x1cein ein ein"]
+    h, lens = words.of([t and t.encode() for t in texts])
+    own = [w for t in texts for w in (t or "").encode().split()]
+    assert lens.tolist() == [len((t or "").encode().split()) for t in texts] and len(h) == len(own)
+    assert len(asked) == len(set(own)) and len(set(h.tolist())) == len({w.lower() for w in own})
+    assert all((h[i] == h[j]) == (own[i].lower() == own[j].lower()) for i in range(len(own)) for j in range(len(own)))
+    for none in ([], [None], [b""]):
+        h, lens = words.of(none)
+        assert not len(h) and lens.tolist() == [0] * len(none)
+
+
+def test_forms_of_words():
+    want = {"(Ärger)": "ärger", "--": "--", "a-b,": "a-b", "ΟΔΟΣ": "οδος"[:3] + "ς", "'": "'", "x": "x", "İ.": "i\u0307"[:1], "中。": "中"}
+    assert {w: decontamination.form(w.encode()).decode() for w in want} == want
+
+
+def test_bag_bounds_of_many_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    pad = decontamination.PAD
+    a, b = (rng.integers(0, 9, (200, 12)).astype(np.uint64) for _ in range(2))
+    m, n = rng.integers(1, 13, (2, 200))
+    for x, size in ((a, m), (b, n)):
+        x[np.arange(12) >= size[:, None]] = pad
+    got = alignment.bag_bounds(a, b, pad)
+    assert got.tolist() == [alignment.bag_bound(x[:i], y[:j]) for x, y, i, j in zip(a, b, m, n)]
+
+
 def test_encoder_pieces():
     import random
 
