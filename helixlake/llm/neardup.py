@@ -214,6 +214,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").mapInArrow(align, "a long, b long, distance int")
 
 
+def _texts(docs: DataFrame, at: DataFrame) -> DataFrame:
+    """Text of each node of ``at`` (node and the place of its first row), so that one row of a group of copies meets it.
+    Rows that are equal in doc_id and text come together by the keys of the join, so texts are dealt out once."""
+    key = ["t1", "t2", "id", "no_id"]
+    flat = lambda df, *more: df.select("t1", "t2", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id"), *more)
+    met = flat(keyed(docs), "text").join(flat(at, "node"), key)
+    return met.groupBy(*key).agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60, length: int = 2) -> tuple[DataFrame, DataFrame]:
     """(members, links): doc_id, the keys t1 and t2 of the text, class_id and ``kept`` (one row of its class has it) of
     every row, and the verified pairs of numbers of texts."""
@@ -221,19 +230,18 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2")
     first = F.min(F.struct(place.alias("at"), "n_words", "bits", "sketch")).alias("x")
     reps = all_rows.groupBy("h1", "h2").agg(first).select("h1", "h2", F.monotonically_increasing_id().alias("node"), "x.*")
-    reps = save(reps, "reps")
+    reps = save(reps, "reps-sketched")
     rows = save(all_rows.select("doc_id", "t1", "t2", "h1", "h2").join(reps.select("h1", "h2", "node"), ["h1", "h2"]).drop("h1", "h2"), "rows")
     drop(all_rows)
     entries = reps.select("node", "n_words", F.explode("sketch").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     met = save(entries.join(shared, "key"), "bucket-members")
+    sketched, reps = reps, save(reps.select("node", "at", "n_words", "bits"), "reps")
+    drop(sketched)
     pairs = save(_leaders(met), "pairs")
     involved = met.select("node").distinct()
-    # The text of a number is that of its first row, so that one row of a group of copies meets it.
     at = reps.join(involved, "node", "left_semi").select("node", "at.*")
-    same = lambda x, y: (x.t1 == y.t1) & (x.t2 == y.t2) & x.doc_id.eqNullSafe(y.doc_id)
-    source = keyed(docs)
-    texts = save(source.join(at, same(source, at)).groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = save(_texts(docs, at), "texts")
     tested = save(_verified(pairs, texts, similarity), "aligned")
     drop(pairs)
     # What the leaders did not join is compared further: with new leaders while that joins much, then every pair.

@@ -371,6 +371,20 @@ def test_token_ids_empty(no_docs):
     assert dac.documents(files).count() == 0
 
 
+def test_near_texts_are_dealt_out_once(spark):
+    from helixlake.llm.common import conf
+
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "a b"), (None, "c"), (None, "c"), (0, "c"), (3, None), (4, "")], "doc_id long, text string")
+    firsts = neardup.keyed(docs).where("doc_id = 1 or doc_id is null or doc_id = 4").distinct()
+    at = firsts.selectExpr("doc_id is null as no_id", "doc_id", "t1", "t2", "case when doc_id = 1 then 7 when doc_id = 4 then 9 else 8 end as node")
+    at = save(at.withColumn("node", at.node.cast("long")), "at")
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        texts = neardup._texts(docs, at)
+        plan = texts._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert sorted((r.node, bytes(r.text).decode()) for r in texts.collect()) == [(7, "a b"), (8, "c"), (9, "")]
+
+
 def test_word_hashes_of_texts():
     from helixlake.llm.common import WordHashes
 
