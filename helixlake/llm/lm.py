@@ -7,8 +7,8 @@ log10 S over its words (lower-cased; an n-gram never leaves its document).
 :func:`score` takes the counts from the documents that it scores. Every n-gram is then seen, and the quotients telescope:
 of a document of n words there remain the counts of its n-grams of the full order, less those of the contexts between
 them (places 2 to n - order + 1), less log10 N. Documents are exploded to rows of one n-gram each, the rows of a range of
-n-gram hashes are dealt out by n-gram, and a window over each n-gram sets its count beside its rows: the count table and
-its join, by one partitioning. The logarithms are summed per document. The ranges (``parts``) are done in turn, so that
+n-gram hashes are dealt out by n-gram, and each partition (about ``partition_rows`` rows) makes the count table of its
+n-grams and joins it to its rows: both by one partitioning. The logarithms are summed per document. The ranges (``parts``) are done in turn, so that
 only one range's rows lie on disk at a time. Of n-grams with a great share of all rows there are at most 1 / SHARE; their
 count table is made by a plain aggregate and joined by broadcast, so that no task gets all rows of a frequent n-gram.
 
@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, binary_text, drop, save, word_hashes
@@ -212,6 +212,29 @@ def _sign(x: Column) -> Column:
     return F.when(code == COUNT, 0).otherwise(F.pmod(code, F.lit(3)) - 1)
 
 
+def _counted(dealt: DataFrame) -> DataFrame:
+    """(doc, s): as :func:`_sums`, of rows dealt out by n-gram. A partition has all rows of its n-grams, so the count table
+    of these is made and joined there; documents are summed within the partition first."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [(b.column("gram").to_numpy(), b.column("x").to_numpy()) for b in rows if b.num_rows]
+        if not own:
+            return
+        gram, x = map(np.concatenate, zip(*own))
+        del own
+        at, known = pd.factorize(gram)
+        del gram
+        code = x & 7
+        count = np.bincount(at, np.where(code == COUNT, x >> 3, code >= kind(1, -1)), len(known))
+        keep = np.flatnonzero((code != COUNT) & (code % 3 != 1))
+        doc, docs = pd.factorize(x[keep] >> 3)
+        s = np.bincount(doc, (code[keep] % 3 - 1) * np.log10(count)[at[keep]], len(docs))
+        for lo in range(0, len(docs), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(docs[lo : lo + (1 << 16)]), pa.array(s[lo : lo + (1 << 16)])], ["doc", "s"])
+
+    return dealt.mapInArrow(run, "doc long, s double").groupBy("doc").agg(F.sum("s").alias("s"))
+
+
 def _sums(rows: DataFrame) -> DataFrame:
     """Per document, the signed logarithms of the counts ``c`` of its rows."""
     code = F.col("x").bitwiseAND(F.lit(7))
@@ -242,8 +265,7 @@ def score(docs: DataFrame, order: int = 3, parts: int = 8, block_words: int = 2_
     partitions = max(1, -(-2 * n // (parts * partition_rows)))
     for part in range(parts):
         dealt = _exploded(blocks, order, short, part, parts, frequent).repartition(partitions, "gram")
-        counted = dealt.select("x", F.sum(_occurs(F.col("x"))).over(Window.partitionBy("gram")).alias("c"))
-        sums.append(save(_sums(counted), "lm-sums"))
+        sums.append(save(_counted(dealt), "lm-sums"))
     out = save(_result(blocks, sums, F.lit(-float(np.log10(max(1, n))))), "lm-scores")
     drop(blocks, *sums)
     return out

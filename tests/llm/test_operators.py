@@ -578,3 +578,12 @@ def test_toxicity(spark, edge_docs, no_docs):
     assert toxicity.score(no_docs, net).count() == 0
     assert toxicity.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, toxic int")) == 1.0
     assert {r.score for r in toxicity.score(edge_docs, 0.0).collect()} == {0.0}
+
+
+def test_scores_of_a_partition(spark):
+    """Rows of a document meet as one row a partition; counts of n-grams without a document have their share."""
+    rows = [(5, 8 * 2 + lm.kind(1, 1)), (5, 8 * 2 + lm.kind(1, 1)), (5, 8 * 3 + lm.kind(1, -1)), (6, 8 * 7 + lm.COUNT), (6, 8 * 3 + lm.kind(0, 1)), (6, 8 * 4 + lm.kind(1, 0))]
+    dealt = spark.createDataFrame(rows, "gram long, x long").repartition(1, "gram")
+    got = {r.doc: r.s for r in lm._counted(dealt).collect()}
+    assert got == pytest.approx({2: 2 * np.log10(3), 3: np.log10(8) - np.log10(3)})
+    assert lm._counted(dealt.where("gram = 0")).count() == 0
