@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -12,6 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LIBC = ctypes.CDLL(None)
 #: Word separators of every operator here: space and \t \n \v \f \r.
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -75,11 +77,25 @@ def binary_text(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def batches(rows, size: int = 2000, most: int = 24 << 20):
-    """Slices of Arrow batches with at most ``size`` rows and about ``most`` bytes, so that memory stays bounded."""
+    """Slices of Arrow batches with at most ``size`` rows and about ``most`` bytes, so that memory stays bounded. At the
+    end a worker gives back what it has freed, as it outlives its task."""
+    used, read = Memory.uses, 0
     for batch in rows:
+        read += batch.num_rows
         step = max(1, min(size, int(batch.num_rows * most / max(1, batch.nbytes))))
         for i in range(0, batch.num_rows, step):
             yield batch.slice(i, step)
+        del batch
+    if read and Memory.uses == used and Memory._last is not None:  # another operator's
+        Memory._last.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes from Arrow's pool and the C library's to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(_LIBC, "malloc_trim", None):  # glibc alone has it
+        trim(0)
 
 
 class Memory:
@@ -89,6 +105,7 @@ class Memory:
     new one is taken up."""
 
     _last: Memory | None = None
+    uses = 0
 
     def __init__(self, most: int):
         self.most, self.young, self.old = most, {}, {}
@@ -97,6 +114,7 @@ class Memory:
         self.young, self.old = {}, {}
 
     def take_up(self) -> None:
+        Memory.uses += 1
         if Memory._last is not self:
             if Memory._last is not None:
                 Memory._last.clear()

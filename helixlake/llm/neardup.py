@@ -38,6 +38,7 @@ PART, FEW = 256, 4
 #: 64-bit columns of a text's word bits, and 64-bit items of those that tell apart what these let pass.
 BITS, FINE = 8, 128
 K = 5
+PLACE = ["t1", "t2", "id", "no_id"]
 
 
 def multipliers(sketches: int) -> np.ndarray:
@@ -214,13 +215,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").mapInArrow(align, "a long, b long, distance int")
 
 
+def _flat(df: DataFrame, *more) -> DataFrame:
+    """The place of each row without nulls, and ``more``: a join by it deals rows out as a group by it needs them."""
+    return df.select("t1", "t2", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id"), *more)
+
+
 def _texts(docs: DataFrame, at: DataFrame) -> DataFrame:
     """Text of each node of ``at`` (node and the place of its first row), so that one row of a group of copies meets it.
     Rows that are equal in doc_id and text come together by the keys of the join, so texts are dealt out once."""
-    key = ["t1", "t2", "id", "no_id"]
-    flat = lambda df, *more: df.select("t1", "t2", F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("no_id"), *more)
-    met = flat(keyed(docs), "text").join(flat(at, "node"), key)
-    return met.groupBy(*key).agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text")
+    met = _flat(keyed(docs), "text").join(_flat(at, "node"), PLACE)
+    return met.groupBy(*PLACE).agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, sketches: int = 60, length: int = 2) -> tuple[DataFrame, DataFrame]:
@@ -284,9 +288,7 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the first row of each class, by doc_id (null last) and a hash of the text; of rows that are equal
     in doc_id and text, one. Rows without a text stay."""
     members, _ = near_duplicates(docs, **settings)
-    chosen = members.where("kept").select("doc_id", "t1", "t2").distinct()
+    chosen = _flat(members.where("kept")).distinct()
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    source = keyed(docs, row).drop("text")
-    same = (source.t1 == chosen.t1) & (source.t2 == chosen.t2) & source.doc_id.eqNullSafe(chosen.doc_id)
-    found = source.join(chosen, same, "left_semi").groupBy("doc_id", "t1", "t2").agg(F.any_value("row").alias("row"))
+    found = _flat(keyed(docs, row), "row").join(chosen, PLACE, "left_semi").groupBy(*PLACE).agg(F.any_value("row").alias("row"))
     return found.select("row.*").union(docs.where("text is null"))

@@ -385,6 +385,39 @@ def test_near_texts_are_dealt_out_once(spark):
         assert sorted((r.node, bytes(r.text).decode()) for r in texts.collect()) == [(7, "a b"), (8, "c"), (9, "")]
 
 
+def test_kept_rows_are_dealt_out_once(spark, monkeypatch):
+    """Rows meet the chosen ones and their equals by one exchange; of equal rows one stays, null ids and texts too."""
+    from helixlake.llm.common import conf
+
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (2, "a b", "y"), (None, "c", "z"), (None, "c", "z"), (0, "c", "v"), (3, None, "w")], "doc_id long, text string, source string")
+    members = neardup.keyed(docs).selectExpr("doc_id", "t1", "t2", "doc_id as class_id", "doc_id is null or doc_id = 1 as kept")
+    members = save(members, "members")
+    monkeypatch.setattr(neardup, "near_duplicates", lambda docs: (members, None))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        kept = neardup.keep_one(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert sorted(map(str, map(tuple, kept.collect()))) == ["(1, 'a b', 'x')", "(3, None, 'w')", "(None, 'c', 'z')"]
+
+
+def test_another_operator_frees_what_a_worker_remembers():
+    import pyarrow as pa
+
+    from helixlake.llm.common import Memory, batches
+
+    memory, rows = Memory(10), [pa.RecordBatch.from_pydict({"text": [b"a", b"b", b"c"]})]
+
+    def own(rows):
+        for batch in batches(rows, size=2):
+            memory.take_up()
+            memory.young["piece"] = b"ids"
+            yield batch.num_rows
+
+    assert list(own(rows)) == [2, 1] and memory.young
+    assert not list(own([])) and not list(batches([])) and memory.young  # a task without rows is no other operator
+    assert [b.num_rows for b in batches(rows, size=2)] == [2, 1] and not memory.young
+
+
 def test_word_hashes_of_texts():
     from helixlake.llm.common import WordHashes
 
