@@ -6,11 +6,14 @@ log10 S over its words (lower-cased; an n-gram never leaves its document).
 
 :func:`score` takes the counts from the documents that it scores. Every n-gram is then seen, and the quotients telescope:
 of a document of n words there remain the counts of its n-grams of the full order, less those of the contexts between
-them (places 2 to n - order + 1), less log10 N. Documents are exploded to rows of one n-gram each, the rows of a range of
-n-gram hashes are dealt out by n-gram, and each partition (about ``partition_rows`` rows) makes the count table of its
-n-grams and joins it to its rows: both by one partitioning. The logarithms are summed per document. The ranges (``parts``) are done in turn, so that
-only one range's rows lie on disk at a time. Of n-grams with a great share of all rows there are at most 1 / SHARE; their
-count table is made by a plain aggregate and joined by broadcast, so that no task gets all rows of a frequent n-gram.
+them (places 2 to n - order + 1), less log10 N. Documents lie in blocks of about ``block_words`` words. Each block counts
+its own n-grams first and deals the different ones, sorted, out by ranges of their hashes; a range (about
+``partition_rows`` n-grams, of all blocks) adds the counts up and sends each block those of the n-grams it asked for, which
+meet the block again by its number. So what is sent is one number for each different n-gram of a block and one back, in
+proportion to the words, and a frequent n-gram is at most a number a block. Numbers of a block and a range travel as one
+row; these rows (blocks times ranges) alone grow with the square of the words, to one for some hundreds of n-grams at
+5 * 10^9 words, and are never more than the n-grams. The ranges are done in ``parts``, so that only one part's n-grams lie
+on disk at a time.
 
 :func:`score_against` scores documents by another corpus. There n-grams can be unseen. Each n-gram of the count table gets
 the weight log S of its own order less log S of the next lower one, by joins of the count tables; documents' n-grams of all
@@ -162,26 +165,80 @@ def _each_block(blocks: DataFrame, schema: str, run) -> DataFrame:
     return blocks.select("first", "lens", "words").mapInArrow(each, schema)
 
 
-def _exploded(blocks: DataFrame, order: int, short: bool, part: int | None, parts: int, frequent: np.ndarray) -> DataFrame:
-    """(gram, x) of one range of n-grams without the frequent ones; of these alone if ``part`` is None."""
+def _orders(order: int, short: bool) -> range:
+    return range(1 if short else max(1, order - 1), order + 1)
 
-    lo, hi = (0, 1 << 64) if part is None else ((part << 64) // parts, (part + 1 << 64) // parts)
 
-    def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for g, x in block.rows(order, short, lo, hi):
-            if len(frequent):
-                often = frequent[np.minimum(np.searchsorted(frequent, g), len(frequent) - 1)] == g
-                keep = np.flatnonzero(often == (part is None))
-                g, x = g[keep], x[keep]
-            elif part is None:
-                return
-            yield g.view(np.int64), x
+def _asked(blocks: DataFrame, order: int, short: bool, part: int, parts: int, ranges: int) -> DataFrame:
+    """(first, range, grams, counts): the different n-grams of each block in each range of one part, ascending."""
+    edges = [(part * ranges + i << 64) // (parts * ranges) for i in range(ranges + 1)]
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for row in batch.to_pylist():
+                block = Block(row)
+                known, count = np.unique(np.concatenate([block.ngrams(m, edges[0], edges[-1])[0] for m in _orders(order, short)]), return_counts=True)
+                cuts = [0, *np.searchsorted(known, np.array(edges[1:-1], np.uint64)).tolist(), len(known)]
+                for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                    if lo < hi:
+                        values = [[block.first], [part * ranges + i], [known[lo:hi].tobytes()], [squeeze(count[lo:hi])]]
+                        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["first", "range", "grams", "counts"])
+
+    return blocks.select("first", "lens", "words").mapInArrow(run, "first long, range long, grams binary, counts binary")
+
+
+def _answered(dealt: DataFrame) -> DataFrame:
+    """(first, range, counts): of rows of :func:`_asked` dealt out by range, the n-grams' counts over all blocks."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, list] = {}
+        for batch in rows:
+            for row in batch.to_pylist():
+                own.setdefault(row["range"], []).append((row["first"], row["grams"], row["counts"]))
+        for which in list(own):
+            first, grams, counts = zip(*own.pop(which))
+            at, known = pd.factorize(np.concatenate([np.frombuffer(g, np.int64) for g in grams]))
+            total = np.bincount(at, np.concatenate([unsqueeze(c, np.int64) for c in counts]), len(known)).astype(np.int64)[at]
+            for f, c in zip(first, np.split(total, np.cumsum([len(g) // 8 for g in grams])[:-1])):
+                yield pa.RecordBatch.from_arrays([pa.array([f]), pa.array([which]), pa.array([squeeze(c)], pa.binary())], ["first", "range", "counts"])
+
+    return dealt.mapInArrow(run, "first long, range long, counts binary")
+
+
+def _block_sums(block: Block, counts: np.ndarray, order: int, short: bool) -> np.ndarray:
+    """The signed logarithms of each document of a block, by the counts of its different n-grams in ascending order."""
+    found = [(m, *block.ngrams(m)) for m in _orders(order, short)]
+    known, place = np.unique(np.concatenate([g for _, g, _ in found]), return_inverse=True)
+    if len(known) != len(counts):
+        raise ValueError(f"{len(counts)} counts for {len(known)} n-grams")
+    logs, out = np.log10(counts)[place], np.zeros(len(block.lens))
+    for m, g, at in found:
+        doc, (own, logs) = block.doc[at], (logs[: len(g)], logs[len(g) :])
+        whole = block.lens[doc] == m  # of a document that is shorter than the order, the whole counts
+        inner = (at > block.start[doc]) & (at - block.start[doc] <= block.lens[doc] - order)
+        sign = np.where(whole | (m == order), 1, np.where(inner & (m == order - 1), -1, 0))
+        out += np.bincount(doc, sign * own, len(out))
+    return out
+
 
-    return _each_block(blocks, "gram long, x long", run)
+def _scored(blocks: DataFrame, counts: DataFrame, partitions: int, n: int, order: int, short: bool) -> DataFrame:
+    """A row a document, from each block and the counts sent to it."""
+
+    def run(block: pa.Table, counts: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        own = [unsqueeze(c, np.int64) for _, c in sorted(zip(counts.column("range").to_pylist(), counts.column("counts").to_pylist()))]
+        s = _block_sums(Block(row), np.concatenate([np.zeros(0, np.int64), *own]), order, short)
+        lens = np.array(row["lens"], np.int64)
+        log = np.where(lens > 0, s - np.log10(max(1, n)), 0.0)
+        mean = pa.array(log / np.maximum(lens, 1), mask=lens == 0)
+        return pa.Table.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(lens), pa.array(log), mean], ["doc_id", "n_words", "log_score", "mean_log_score"])
+
+    met = lambda df: df.repartition(partitions, "first").groupBy("first")
+    return met(blocks.select("first", "doc_ids", "lens", "words")).cogroup(met(counts)).applyInArrow(run, RESULT)
 
 
 def _frequent(blocks: DataFrame, order: int, short: bool, step: int = 8) -> np.ndarray:
-    """N-grams that hold a great share of the rows, by a count of one row in ``step``: at most 1 / SHARE of them. This
+    """Not on the way of :func:`score` any more. N-grams that hold a great share of the rows, by a count of one row in ``step``: at most 1 / SHARE of them. This
     only decides by which join an n-gram meets its count."""
 
     def run(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -202,18 +259,9 @@ def _frequent(blocks: DataFrame, order: int, short: bool, step: int = 8) -> np.n
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
 
-def _occurs(x: Column) -> Column:
-    code = x.bitwiseAND(F.lit(7))
-    return F.when(code == COUNT, F.shiftright(x, 3)).when(code >= kind(1, -1), 1).otherwise(0)
-
-
-def _sign(x: Column) -> Column:
-    code = x.bitwiseAND(F.lit(7))
-    return F.when(code == COUNT, 0).otherwise(F.pmod(code, F.lit(3)) - 1)
-
-
 def _counted(dealt: DataFrame) -> DataFrame:
-    """(doc, s): as :func:`_sums`, of rows dealt out by n-gram. A partition has all rows of its n-grams, so the count table
+    """Not on the way of :func:`score` any more: it sent a row for each document and partition. (doc, s), the signed
+    logarithms per document, of rows of :meth:`Block.rows` dealt out by n-gram. A partition has all rows of its n-grams, so the count table
     of these is made and joined there; documents are summed within the partition first."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +283,6 @@ def _counted(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "doc long, s double").groupBy("doc").agg(F.sum("s").alias("s"))
 
 
-def _sums(rows: DataFrame) -> DataFrame:
-    """Per document, the signed logarithms of the counts ``c`` of its rows."""
-    code = F.col("x").bitwiseAND(F.lit(7))
-    doc = F.when(code != COUNT, F.shiftright("x", 3))
-    part = rows.select(doc.alias("doc"), (_sign(F.col("x")) * F.log10("c")).alias("s")).groupBy("doc").agg(F.sum("s").alias("s"))
-    return part.where("doc is not null")
-
-
 def _result(blocks: DataFrame, sums: list[DataFrame], own: Column) -> DataFrame:
     """A row a document; ``own`` is added to the sum of one that has words."""
     each = F.posexplode(F.arrays_zip("doc_ids", "lens")).alias("k", "d")
@@ -255,19 +295,14 @@ def _result(blocks: DataFrame, sums: list[DataFrame], own: Column) -> DataFrame:
 def score(docs: DataFrame, order: int = 3, parts: int = 8, block_words: int = 2_000_000, partition_rows: int = 1_000_000) -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document, by the counts of all of them. ``order`` >= 2."""
     blocks = save(_blocks(docs, block_words), "lm-blocks", compression="none")
-    n, few = blocks.agg(F.sum("n_words"), F.min(F.when(F.col("shortest") > 0, F.col("shortest")))).first()
+    n, few, n_blocks = blocks.agg(F.sum("n_words"), F.min(F.when(F.col("shortest") > 0, F.col("shortest"))), F.count("*")).first()
     n, short = n or 0, few is not None and few < order - 1
-    frequent = _frequent(blocks, order, short)
-    often = save(_exploded(blocks, order, short, None, parts, frequent), "lm-often")
-    counts = save(often.groupBy("gram").agg(F.sum(_occurs(F.col("x"))).alias("c")), "lm-counts")  # as many rows as ``frequent``
-    sums = [save(_sums(often.join(F.broadcast(counts), "gram")), "lm-sums")]
-    drop(often, counts)
-    partitions = max(1, -(-2 * n // (parts * partition_rows)))
+    ranges, counts = max(1, -(-2 * n // (parts * partition_rows))), []
     for part in range(parts):
-        dealt = _exploded(blocks, order, short, part, parts, frequent).repartition(partitions, "gram")
-        sums.append(save(_counted(dealt), "lm-sums"))
-    out = save(_result(blocks, sums, F.lit(-float(np.log10(max(1, n))))), "lm-scores")
-    drop(blocks, *sums)
+        dealt = _asked(blocks, order, short, part, parts, ranges).repartition(ranges, "range")
+        counts.append(save(_answered(dealt), "lm-counts", compression="none"))
+    out = save(_scored(blocks, reduce(DataFrame.union, counts), max(1, min(n_blocks, -(-n // partition_rows))), n, order, short), "lm-scores")
+    drop(blocks, *counts)
     return out
 
 

@@ -620,3 +620,19 @@ def test_scores_of_a_partition(spark):
     got = {r.doc: r.s for r in lm._counted(dealt).collect()}
     assert got == pytest.approx({2: 2 * np.log10(3), 3: np.log10(8) - np.log10(3)})
     assert lm._counted(dealt.where("gram = 0")).count() == 0
+
+
+def test_counts_go_back_to_their_blocks(spark):
+    """What an n-gram's range sends does not depend on the number of documents or ranges: a number for each different
+    n-gram of a block. Before, each range sent a row for each document that it met."""
+    text = "the cat sat on the mat and "
+    docs = spark.createDataFrame([(i, text * 3 + f"w{i}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    blocks = save(lm._blocks(docs, 1 << 20), "lm-blocks")
+    for ranges in (1, 8):
+        asked = save(lm._asked(blocks, 3, False, 0, 1, ranges).repartition(2, "range"), "lm-asked")
+        answers = {r.range: lm.unsqueeze(r.counts, np.int64) for r in lm._answered(asked).collect()}
+        assert len(answers) == ranges
+        words = [[*(text * 3).split(), f"w{i}"] for i in range(40)]
+        want = Counter(tuple(w[i : i + m]) for w in words for m in (2, 3) for i in range(len(w) - m + 1))
+        assert Counter(np.concatenate([*answers.values()]).tolist()) == Counter(want.values())
+    same_scores(lm.score(docs, parts=3, block_words=100, partition_rows=20).collect(), backoff_scores(texts_of(docs)))
