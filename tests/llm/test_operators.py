@@ -4,11 +4,13 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helixlake.llm import alignment, dac, decontamination, lm, neardup, packing, quality, sharding, substrings, toxicity, urls
@@ -182,6 +184,23 @@ def test_substrings_repeated_rows(spark):
     assert sorted((r.n_words, r.n_removed) for r in substrings.digests(docs).collect()) == [(50, 50)] * 3 + [(51, 50)]
 
 
+def test_substrings_leave_no_texts_behind(spark, tmp_path):
+    from helixlake.llm.common import conf
+
+    rng = np.random.default_rng(6)
+    prose = lambda n: " ".join(map(str, rng.integers(0, 10**9, n)))
+    shared, path = prose(60), f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows_of([f"{prose(900)} {shared} {prose(900)}" for _ in range(200)]), SCHEMA).write.parquet(path)
+    docs, folders = spark.read.parquet(path), list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f: f.stat().st_size for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = substrings.repeated_spans(docs)
+    left = sum(size for f, size in files().items() if f not in before)
+    assert found.count() == 200
+    assert left < 0.05 * docs.agg(F.sum("n_chars")).first()[0]
+
+
 def test_substrings_empty(no_docs):
     assert substrings.digests(no_docs).count() == 0
 
